@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloop.operators.ordering import number_rows
 from tabloop.operators.skew import lookup_join
 from tabloop.storage import settle
 
@@ -44,18 +45,11 @@ def fit_category_index(df: DataFrame, cols: Sequence[str], sorted_limit: int = S
 
 
 def _rank_by_range(distinct: DataFrame) -> DataFrame:
-    """Codes of columns too wide for one task: range partitions are counted, then numbered independently."""
-    ordered = settle(distinct.repartitionByRange("col", "category").sortWithinPartitions("col", "category"))
-    spot = F.monotonically_increasing_id()  # partition in the upper bits, position in the lower 33
-    placed = ordered.select("*", F.shiftright(spot, 33).alias("_p"), spot.bitwiseAND(2**33 - 1).alias("_i"))
-    runs = placed.groupBy("col", "_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
-    before = F.coalesce(
-        F.sum("_n").over(Window.partitionBy("col").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    starts = runs.select("col", "_p", (before - F.col("_first")).alias("_shift"))  # one row per column and partition
-    return placed.join(F.broadcast(starts), ["col", "_p"]).select(
-        "col", (F.col("_i") + F.col("_shift")).cast("int").alias("code"), F.col("category").cast("string")
-    )
+    """Codes of columns too wide for one task: all values are numbered in order, less each column's start."""
+    placed = number_rows(distinct, ["col", "category"], "_n")
+    starts = {r.col: r.s for r in placed.groupBy("col").agg(F.min("_n").alias("s")).collect()}
+    start = F.create_map(*[x for c, n in starts.items() for x in (F.lit(c), F.lit(n))])[F.col("col")]
+    return placed.select("col", (F.col("_n") - start).cast("int").alias("code"), F.col("category").cast("string"))
 
 
 def _small_columns(stats: DataFrame, cols: Sequence[str], limit: int) -> dict[str, list]:

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.config import ProblemConfig
-from tabloop.functions.keys import hash_key
-from tabloop.operators.ordering import sample_exact
+from tabloop.operators.ordering import number_rows, sample_exact
 from tabloop.operators.relabel import consensus
 from tabloop.plans.scoring import Fitted, score_table
 from tabloop.sources.requests import latest_requests, parse_requests
@@ -19,14 +18,9 @@ SAMPLE_ROWS = 50_000  # fixed value: captured rows taken per round
 
 
 def captured_table(requests: DataFrame, cfg: ProblemConfig, sample: int | None = SAMPLE_ROWS, seed: int = 1) -> DataFrame:
-    """Rows of the latest request of every id, with a row id from (id, position), sampled to an exact size.
-
-    The row id is 62 bits of a hash, so that rows of different requests need no numbering pass.
-    """
+    """Rows of the latest request of every id, numbered by (id, position) and sampled to an exact size."""
     rows, _ = parse_requests(latest_requests(requests), cfg)
-    spot = F.concat_ws(":", "id", "row_pos")
-    row_id = hash_key(spot, ":a") % (2**30) * F.lit(2**32) + hash_key(spot, ":b")
-    table = rows.select(row_id.alias("row_id"), F.col("id").alias("batch_id"), "row_pos", *cfg.features)
+    table = number_rows(rows.select(F.col("id").alias("batch_id"), "row_pos", *cfg.features), ["batch_id", "row_pos"])
     return table if sample is None else sample_exact(table, sample, seed)
 
 
