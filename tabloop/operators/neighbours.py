@@ -9,6 +9,7 @@ given order, ties go to the smaller id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,8 +24,8 @@ from tabloop.storage import settle
 LEAF_ROWS = 4096  # vectors of one leaf, held by one task
 VISIT_ROWS = 20_000  # queries of one leaf, held by one task
 SAMPLE_ROWS = 100_000  # vectors the driver looks at to place splits
-TILE = 256  # queries compared with a leaf at a time
-MAX_LEAVES = 50_000  # leaf boxes are copied to every task
+TILE_CELLS = 2**20  # distances held at a time
+MAX_LEAVES = 200_000  # leaf boxes are copied to every task
 
 
 class _Tree:
@@ -105,9 +106,11 @@ def _plant(packs: DataFrame, leaf_rows: int) -> tuple[DataFrame, dict[str, _Tree
     assigned = _with_leaf(packs, trees)
     sizes = _leaf_sizes(assigned)
     leaf_rows = max(leaf_rows, 4 * sum(sizes.values()) // MAX_LEAVES)
+    draw = 0
     while big := {leaf: n for leaf, n in sizes.items() if n > leaf_rows}:
         rate = min(1.0, SAMPLE_ROWS / sum(big.values()))
-        pick = F.pmod(F.xxhash64("vec", F.lit(len(sizes))), F.lit(1_000_000)) < int(rate * 1_000_000) + 1
+        draw += 1  # every round looks at other vectors
+        pick = F.pmod(F.xxhash64("vec", F.lit(draw)), F.lit(10**9)) < math.ceil(rate * 10**9)
         wide = assigned.sparkSession.createDataFrame(list(big), "block string, leaf bigint")
         sample = assigned.where(pick).join(F.broadcast(wide), ["block", "leaf"]).select("block", "leaf", "vec").toPandas()
         for (block, leaf), part in sample.groupby(["block", "leaf"]):
@@ -131,8 +134,9 @@ def _best(q: np.ndarray, d: np.ndarray, ids: np.ndarray, owner: np.ndarray, k: i
     """(query position, squared distance, id) of the k best entries per query; `ids` ascend per vector."""
     first = np.searchsorted(owner, np.arange(len(d)))
     count = np.bincount(owner, minlength=len(d))
-    for start in range(0, len(q), TILE):
-        dist = _distances(q[start : start + TILE], d)
+    tile = max(1, TILE_CELLS // len(d))
+    for start in range(0, len(q), tile):
+        dist = _distances(q[start : start + tile], d)
         if len(d) > k:
             within = dist <= np.partition(dist, k - 1, axis=1)[:, k - 1, None]
         else:
@@ -185,37 +189,58 @@ def _merge(entries: DataFrame, k: int) -> DataFrame:
     return entries.groupBy("qid").agg(best.alias("entries"))
 
 
-def _further_visits(queries: DataFrame, boxes: list, dims: int) -> DataFrame:
-    """Other leaves of the block whose box reaches into a query's current radius."""
+def _node_boxes(arrays: tuple[np.ndarray, ...], leaves: list, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounding boxes of all nodes from those of the leaves; children have larger numbers than their parent."""
+    _, _, left, right = arrays
+    low, high = np.full((len(left), dims), np.inf), np.full((len(left), dims), -np.inf)
+    for r in leaves:
+        low[r.leaf], high[r.leaf] = r.low, r.high
+    for node in reversed(range(len(left))):
+        if left[node] >= 0:
+            low[node] = np.minimum(low[left[node]], low[right[node]])
+            high[node] = np.maximum(high[left[node]], high[right[node]])
+    return low, high
+
+
+def _reached(arrays, boxes, points: np.ndarray, own: np.ndarray, radius: np.ndarray):
+    """(query position, leaf) pairs of leaves, other than the own, whose box lies within the radius."""
+    left, right = arrays[2], arrays[3]
+    low, high = boxes
+    limit = radius * (1 + 1e-9)
+    stack = [(0, np.arange(len(points)))]
+    while stack:
+        node, at = stack.pop()
+        gap = np.maximum(np.maximum(low[node] - points[at], points[at] - high[node]), 0.0)
+        total = (gap * gap).sum(axis=1)
+        at = at[(total <= limit[at]) & np.isfinite(total)]
+        if not len(at):
+            continue
+        if left[node] >= 0:
+            stack += [(left[node], at), (right[node], at)]
+        else:
+            yield at[own[at] != node], node
+
+
+def _further_visits(queries: DataFrame, trees: dict[str, _Tree], boxes: list, dims: int) -> DataFrame:
+    """Other leaves of the block that reach into a query's current radius, found by walking down the tree."""
     by_block: dict[str, list] = {}
     for r in boxes:
         by_block.setdefault(r.block, []).append(r)
-    packed = {
-        b: (np.array([r.leaf for r in rows]), np.array([r.low for r in rows]), np.array([r.high for r in rows]))
-        for b, rows in by_block.items()
-    }
-    shared = queries.sparkSession.sparkContext.broadcast(packed)
+    shared = queries.sparkSession.sparkContext.broadcast(
+        {b: (t.arrays(), _node_boxes(t.arrays(), by_block.get(b, []), dims)) for b, t in trees.items()}
+    )
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for block, part in batch.groupby("block"):
                 if block not in shared.value:
                     continue
-                leaf, low, high = shared.value[block]
+                arrays, nodes = shared.value[block]
                 points = np.stack(part["vec"].to_numpy())
                 own, radius, qid = (part[c].to_numpy() for c in ("leaf", "radius", "qid"))
-                for s in range(0, len(points), TILE):
-                    tile = slice(s, s + TILE)
-                    total = np.zeros((len(points[tile]), len(leaf)))
-                    for j in range(dims):
-                        x = points[tile, j, None]
-                        gap = np.maximum(np.maximum(low[None, :, j] - x, x - high[None, :, j]), 0.0)
-                        total += gap * gap
-                    near = (total <= radius[tile, None] * (1 + 1e-9)) & (leaf[None, :] != own[tile, None])
-                    row, col = np.nonzero(near)
-                    yield pd.DataFrame(
-                        {"block": block, "leaf": leaf[col], "qid": qid[tile][row], "vec": list(points[tile][row])}
-                    )
+                for at, leaf in _reached(arrays, nodes, points, own, radius):
+                    if len(at):
+                        yield pd.DataFrame({"block": block, "leaf": leaf, "qid": qid[at], "vec": list(points[at])})
 
     return queries.select("block", "leaf", "qid", "vec", "radius").mapInPandas(
         reach, "block string, leaf bigint, qid bigint, vec array<double>"
@@ -282,7 +307,7 @@ def knn_lists(
         more = searched.join(lists.select("qid", radius.alias("radius")), "qid", "left").fillna(
             float("inf"), subset=["radius"]
         )
-        visits = settle(_further_visits(more, boxes, check.dims))
+        visits = settle(_further_visits(more, trees, boxes, check.dims))
         entries = lists.select("qid", F.explode("entries").alias("e")).select("qid", "e.d2", "e.nn")
         lists = _merge(entries.unionByName(_search(visits, assigned, reach)), reach)
     lists = settle(lists)
@@ -348,9 +373,8 @@ def nearest_centroid(
     def nearest(vec: pd.Series) -> pd.Series:
         names, centres = shared.value
         points = np.stack(vec.to_numpy()) if len(vec) else np.zeros((0, centres.shape[1]))
-        best = [
-            _distances(points[s : s + TILE], centres).argmin(axis=1) for s in range(0, len(points), TILE)
-        ]
+        tile = max(1, TILE_CELLS // len(centres))
+        best = [_distances(points[s : s + tile], centres).argmin(axis=1) for s in range(0, len(points), tile)]
         return pd.Series(names[np.concatenate(best)] if best else [], dtype="int64")
 
     vec = F.col(cols[0]).cast("array<double>") if len(cols) == 1 and _is_array(df, cols[0]) else (
