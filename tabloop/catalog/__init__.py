@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from tabloop.catalog import drift, prepare, recipes, requests, resample, scored  # noqa: F401
+    from tabloop.catalog import drift, models, prepare, recipes, requests, resample, scored  # noqa: F401

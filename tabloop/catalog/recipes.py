@@ -23,6 +23,7 @@ from tabloop.operators.columns import append
 from tabloop.operators.stats import apply_robust, fit_robust
 from tabloop.plans.prepare import process_raw
 from tabloop.plans.recipes import CAPTURED_ROWS, EXTREME_ROWS, SCORED_TRAIN_ROWS, RecipeInputs, recipe
+from tabloop.storage import small_table
 
 KEEP = "row_id, feature1, feature2, label"
 OUT = f"part, source, row_id, copy, is_synthetic, label, {s.rounded_columns(FEATURES)}"
@@ -150,7 +151,7 @@ def recipe_1_2(spark, sf):
     means = train.groupBy(F.col("feature4").alias("c")).agg(*[F.round(F.avg(c), 6).alias(c) for c in FEATURES]).collect()
     centres = [(i, *[r[c] for c in FEATURES]) for i, r in enumerate(sorted(means, key=lambda r: r.c))]
     kinds = ", ".join(["cluster int", *[f"{c} double" for c in FEATURES]])
-    fixed = RecipeInputs(**{**given.__dict__, "centroids": spark.createDataFrame(centres, kinds)})
+    fixed = RecipeInputs(**{**given.__dict__, "centroids": small_table(spark, centres, kinds)})
     return result(recipe("phase-1", "prob-2", fixed))
 
 

@@ -14,7 +14,7 @@ from tabloop.operators.encode import category_count
 from tabloop.operators.ordering import sample_exact
 from tabloop.operators.ranks import exact_quantiles
 from tabloop.operators.skew import lookup_join
-from tabloop.storage import settle
+from tabloop.storage import settle, small_table
 
 REFERENCE_ROWS = 10_000  # fixed value: rows of the reference sample
 THRESHOLD = 0.1  # fixed value: scores above this are drift
@@ -87,7 +87,7 @@ def _running(df: DataFrame, window_rows: int) -> tuple[DataFrame, int, int]:
     for i, t in enumerate(rows):
         spans.append((float(t.b), r, c, rows[i + 1].lo if i + 1 < len(rows) else None))
         r, c = r + t.r, c + t.c
-    starts = df.sparkSession.createDataFrame(spans, "b double, r0 bigint, c0 bigint, follow double")
+    starts = small_table(df.sparkSession, spans, "b double, r0 bigint, c0 bigint, follow double")
     inside = Window.partitionBy("b").orderBy("x")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = (

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from tabloop.operators.ordering import number_rows
 from tabloop.operators.skew import lookup_join
-from tabloop.storage import settle
+from tabloop.storage import settle, small_table
 
 LITERAL_CATEGORIES = 64  # per column: codes up to here are part of the expression, no join
 SORTED_CATEGORIES = 200_000  # categories of one column that one task may rank
+MAX_LABELS = 100_000  # classes of one label
 
 
 def long_values(df: DataFrame, cols: Sequence[str], name: str = "category") -> dict[str, DataFrame]:
@@ -101,26 +102,38 @@ def fit_labels(df: DataFrame, col: str = "label") -> DataFrame:
     return fit_category_index(df, [col]).select("code", F.col("category").alias("label"))
 
 
-def _label_pairs(stats: DataFrame) -> list:
-    rows = stats.orderBy("code").limit(SORTED_CATEGORIES + 1).collect()
-    if len(rows) > SORTED_CATEGORIES:
+def _labels(stats: DataFrame) -> list:
+    rows = stats.orderBy("code").limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
         raise ValueError("this many distinct labels are not classes")
     return rows
 
 
+def _look_up(df: DataFrame, col: str, pairs: list[tuple], kinds: str) -> DataFrame:
+    """Add `_new`, the second of the pair whose first equals the column."""
+    if len(pairs) <= LITERAL_CATEGORIES:
+        literal = [x for old, new in pairs for x in (F.lit(old), F.lit(new))]
+        old = kinds.split(",")[0].split()[1]
+        found = F.element_at(F.create_map(*literal), F.col(col).cast(old)) if literal else F.lit(None)
+        return df.withColumn("_new", found)
+    side = small_table(df.sparkSession, pairs, kinds)  # at most MAX_LABELS rows
+    key = kinds.split(",")[0].split()
+    joined = df.withColumn("_old", F.col(col).cast(key[1])).join(F.broadcast(side), "_old", "left")
+    return joined.select(*df.columns, "_new")
+
+
 def encode_labels(df: DataFrame, stats: DataFrame, col: str = "label") -> DataFrame:
     """Replace class names by codes; a class that was not fitted is an error when rows are read."""
-    kind = df.schema[col].dataType
-    pairs = [x for r in _label_pairs(stats) for x in (F.lit(r.label).cast(kind), F.lit(r.code))]
-    code = F.element_at(F.create_map(*pairs), F.col(col))
+    found = _look_up(df, col, [(r.label, r.code) for r in _labels(stats)], "_old string, _new int")
     message = F.concat(F.lit("label not seen when fitting: "), F.coalesce(F.col(col).cast("string"), F.lit("null")))
-    return df.withColumn(col, F.coalesce(code, F.raise_error(message).cast("int")))
+    code = F.coalesce("_new", F.raise_error(message).cast("int"))
+    return found.withColumn(col, code).select(*df.columns)
 
 
 def decode_labels(df: DataFrame, stats: DataFrame, col: str = "label_model") -> DataFrame:
     """Replace class codes by class names."""
-    pairs = [x for r in _label_pairs(stats) for x in (F.lit(r.code), F.lit(r.label))]
-    return df.withColumn(col, F.element_at(F.create_map(*pairs), F.col(col).cast("int")))
+    found = _look_up(df, col, [(r.code, r.label) for r in _labels(stats)], "_old int, _new string")
+    return found.withColumn(col, F.col("_new")).select(*df.columns)
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> DataFrame:

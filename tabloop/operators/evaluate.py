@@ -6,6 +6,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloop.storage import small_table
+
 MAX_CLASSES = 10_000
 
 
@@ -78,7 +80,7 @@ def score_auc(df: DataFrame, label: str = "label", score: str = "score") -> Data
         rawPredictionCol="_s", labelCol="_y", metricName="areaUnderROC", numBins=0
     )
     pairs = df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("double").alias("_y"))
-    return df.sparkSession.createDataFrame([(float(evaluator.evaluate(pairs)),)], "auc double")
+    return small_table(df.sparkSession, [(float(evaluator.evaluate(pairs)),)], "auc double")
 
 
 def micro_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

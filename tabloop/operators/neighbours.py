@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloop.operators.skew import lookup_join
-from tabloop.storage import settle
+from tabloop.storage import settle, small_table
 
-LEAF_ROWS = 4096  # vectors of one leaf, held by one task
+LEAF_ROWS = 8192  # vectors of one leaf, held by one task
 VISIT_ROWS = 20_000  # queries of one leaf, held by one task
 SAMPLE_ROWS = 100_000  # vectors the driver looks at to place splits
 TILE_CELLS = 2**20  # distances held at a time
@@ -111,7 +111,7 @@ def _plant(packs: DataFrame, leaf_rows: int) -> tuple[DataFrame, dict[str, _Tree
         rate = min(1.0, SAMPLE_ROWS / sum(big.values()))
         draw += 1  # every round looks at other vectors
         pick = F.pmod(F.xxhash64("vec", F.lit(draw)), F.lit(10**9)) < math.ceil(rate * 10**9)
-        wide = assigned.sparkSession.createDataFrame(list(big), "block string, leaf bigint")
+        wide = small_table(assigned.sparkSession, list(big), "block string, leaf bigint")
         sample = assigned.where(pick).join(F.broadcast(wide), ["block", "leaf"]).select("block", "leaf", "vec").toPandas()
         for (block, leaf), part in sample.groupby(["block", "leaf"]):
             tree = trees.setdefault(block, _Tree())
@@ -278,7 +278,7 @@ def knn_lists(
     skip_same_id: bool | None = None,
 ) -> DataFrame:
     """(id, entries): per query row its k nearest rows of the same block as (squared distance, id), in order."""
-    points = settle(_points(data, cols, block, row_id))
+    points = _points(data, cols, block, row_id)
     check = points.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.expr("exists(vec, x -> x is null)") | F.col("vec").isNull()).alias("bad"),
@@ -288,7 +288,7 @@ def knn_lists(
         raise ValueError(f"{check.bad} rows have missing values in the distance columns")
     own = queries is None
     skip = own if skip_same_id is None else skip_same_id
-    asked = points if own else settle(_points(queries, cols, block, row_id))
+    asked = points if own else _points(queries, cols, block, row_id)
     reach = k + 1 if skip else k
     packs = settle(_pack(points, reach))
     assigned, trees, sizes = _plant(packs, leaf_rows)
@@ -310,7 +310,6 @@ def knn_lists(
         visits = settle(_further_visits(more, trees, boxes, check.dims))
         entries = lists.select("qid", F.explode("entries").alias("e")).select("qid", "e.d2", "e.nn")
         lists = _merge(entries.unionByName(_search(visits, assigned, reach)), reach)
-    lists = settle(lists)
     rows = check.n if own else asked.count()
     if (sum(sizes.values()) if own else asked_packs.count()) == rows:
         listed = lists.select(F.col("qid").alias("id"), "entries")  # no two rows alike

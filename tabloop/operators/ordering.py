@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tabloop.functions.keys import hash_key, order_key
 from tabloop.operators.ranks import BRACKET_ROWS, nth_values
-from tabloop.storage import settle
+from tabloop.storage import pin_partitions, small_table
 
 TAKE_ROWS = 100_000  # above this a top-k is cut by a boundary instead of merged in one task
 
@@ -209,12 +209,12 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_id") -> Da
 
     Range partitions are written once and counted; each then numbers its own rows from where it starts.
     """
-    ordered = settle(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    ordered = pin_partitions(df.repartitionByRange(*order).sortWithinPartitions(*order))
     spot = F.monotonically_increasing_id()  # partition in the upper bits, position in the lower 33
     placed = ordered.select("*", F.shiftright(spot, 33).alias("_p"), spot.bitwiseAND(2**33 - 1).alias("_i"))
     starts, total = [], 0
     for r in placed.groupBy("_p").count().orderBy("_p").collect():  # one row per partition
         starts.append((r._p, total))
         total += r["count"]
-    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "_p bigint, _start bigint"))
+    offsets = F.broadcast(small_table(df.sparkSession, starts, "_p bigint, _start bigint"))
     return placed.join(offsets, "_p").select(*df.columns, (F.col("_i") + F.col("_start")).alias(name))

@@ -14,7 +14,7 @@ from tabloop.operators.columns import append, by_confidence, distinct_rows
 from tabloop.operators.neighbours import nearest_centroid
 from tabloop.operators.ordering import cut_n
 from tabloop.operators.skew import lookup_join
-from tabloop.storage import settle
+from tabloop.storage import settle, small_table
 
 # fixed values: confidence given to propagated labels, rows that keep the model's label
 PROPAGATED_PROB = 0.8
@@ -201,7 +201,7 @@ def fit_centroids(df: DataFrame, cols: Sequence[str], k: int = 500, seed: int =
         rows, kinds = [(i, c) for i, c in enumerate(centres)], f"cluster int, {cols[0]} array<double>"
     else:
         rows, kinds = [(i, *c) for i, c in enumerate(centres)], ", ".join(["cluster int", *[f"{c} double" for c in cols]])
-    return df.sparkSession.createDataFrame(rows, kinds)
+    return small_table(df.sparkSession, rows, kinds)
 
 
 def propagate(

@@ -63,7 +63,8 @@ def _synthesise(
     first = prefix_by_group(members, group, extra, sizes, shuffled(members, seed, row_id))
     sources = members.withColumn("copies", _value_of(group, whole) + F.when(first, 1).otherwise(0))
     sources = sources.where("copies > 0")
-    near = knn_lists(members, k, cols, group, sources, row_id, leaf_rows, skip_same_id=True)
+    asked = None if all(whole.values()) else sources
+    near = knn_lists(members, k, cols, group, asked, row_id, leaf_rows, skip_same_id=True)
     near = near.select(F.col("id").alias("_id"), F.col("entries.nn").alias("_near"))
     made = sources.withColumn("_id", F.col(row_id).cast("bigint")).join(near, "_id")
     made = _copies(made, max(whole.values()) + 1)
@@ -72,9 +73,9 @@ def _synthesise(
         "_u", uniform(F.col("_id"), ":", F.col("copy"), f":u:{seed}")
     )
     ends = members.select(F.col(row_id).cast("bigint").alias("_nn"), *[F.col(c).cast("double").alias(f"_n_{c}") for c in cols])
-    made = lookup_join(made.drop("_near"), settle(ends), ["_nn"], "inner")
+    made = lookup_join(made.drop("_near"), ends, ["_nn"], "inner", settle_left=True)
     between = {c: F.col(c).cast("double") + F.col("_u") * (F.col(f"_n_{c}") - F.col(c).cast("double")) for c in cols}
-    return made.withColumns(between).drop("copies", "_id", "_nn", "_u", *[f"_n_{c}" for c in cols])
+    return settle(made.withColumns(between).drop("copies", "_id", "_nn", "_u", *[f"_n_{c}" for c in cols]))
 
 
 def _with_originals(df: DataFrame, made: DataFrame, cols: Sequence[str], label: str, row_id: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloop.storage import settle
+
 HOT_ROWS = 2_000_000  # rows of one key that a single task may take
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -20,19 +22,27 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+    settle_left: bool = False,
 ) -> DataFrame:
     """Join to `right`, which has one row per key.
 
     A measured small right side is broadcast. Otherwise rows without a key bypass the shuffle, and keys with
     more than `hot_rows` left rows are joined by broadcasting only their right rows: there are at most
-    rows / hot_rows such keys, so that broadcast is bounded by the table size over a constant.
+    rows / hot_rows such keys, so that broadcast is bounded by the table size over a constant. Counting the
+    keys reads the left side twice; `settle_left` writes it first when that is dearer than writing it.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join: {how}")
     on = list(on)
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
+    if settle_left:
+        left = settle(left)
     has_key = F.lit(True)
     for c in on:
         has_key = has_key & F.col(c).isNotNull()

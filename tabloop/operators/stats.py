@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from tabloop.operators.encode import long_values
 from tabloop.operators.ranks import exact_quantiles
+from tabloop.storage import small_table
 
 STATS_SCHEMA = "col string, stat string, value string"
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _stats(df: DataFrame, rows: list[tuple]) -> DataFrame:
-    return df.sparkSession.createDataFrame(rows, STATS_SCHEMA).coalesce(1)
+    return small_table(df.sparkSession, rows, STATS_SCHEMA)
 
 
 def _read(stats: DataFrame) -> dict[tuple[str, str], str | None]:

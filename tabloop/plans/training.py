@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.functions.keys import hash_key
+from tabloop.storage import small_table
 
 # fixed values: boosted trees of the reference settings
 BOOSTING = {"maxIter": 200, "maxDepth": 7}
@@ -125,7 +126,7 @@ def random_search(
     rows = df.select(*features, F.col(label).cast("double").alias(label))
     metrics = search.fit(rows).validationMetrics
     board = [(i, str(dict(sorted(p.items()))), float(m)) for i, (p, m) in enumerate(zip(points, metrics, strict=True))]
-    return df.sparkSession.createDataFrame(board, "trial int, params string, accuracy double").orderBy(
+    return small_table(df.sparkSession, board, "trial int, params string, accuracy double").orderBy(
         F.desc("accuracy"), "trial"
     )
 
@@ -162,7 +163,7 @@ def compare(
             board.append((name, "accuracy", float(check.fit(rows).avgMetrics[0])))
     finally:
         rows.unpersist()
-    return df.sparkSession.createDataFrame(board, "model string, metric string, value double").orderBy(
+    return small_table(df.sparkSession, board, "model string, metric string, value double").orderBy(
         F.desc("value"), "model"
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloop.config import ProblemConfig
+from tabloop.storage import small_table
 
 
 def read_labelled(spark: SparkSession, path: str, cfg: ProblemConfig) -> DataFrame:
@@ -76,7 +77,7 @@ def run_rows(
 ) -> DataFrame:
     rows = [(run_id, experiment, "param", k, str(v)) for k, v in params.items()]
     rows += [(run_id, experiment, "metric", k, repr(float(v))) for k, v in metrics.items()]
-    return spark.createDataFrame(rows, RUN_SCHEMA)
+    return small_table(spark, rows, RUN_SCHEMA)
 
 
 def log_run(
@@ -90,7 +91,7 @@ def save_model(model: PipelineModel, schema: T.StructType, path: str) -> None:
     """Fitted pipeline with its input schema beside it."""
     model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/schema")
+    small_table(spark, [(schema.json(),)], "value string").write.mode("overwrite").text(f"{path}/schema")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, T.StructType]:

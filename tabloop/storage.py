@@ -5,36 +5,50 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder named by the session; a private one only for a local master with the setting unset."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured
-    active = spark.sparkContext.getCheckpointDir()
-    if active:
-        return active
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="tabloop-")
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared folder, so later uses neither repeat nor depend on its lineage."""
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
+        root = tempfile.mkdtemp(prefix="tabloop-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+        context.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for a written intermediate table."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_root(spark))
-    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written intermediate table; all of an application's lie in one folder."""
+    root = checkpoint_root(spark).rstrip("/")
+    return f"{root}/tabloop-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write `df` once as Parquet and read it back: later uses scan only the columns they need, and neither
+    repeat its work nor depend on the executors that did it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin_partitions(df: DataFrame) -> DataFrame:
+    """Like `settle`, but partitions and the order of rows inside them stay as they are."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A handful of rows as a table that lives in the plan; no job is needed to read it."""
+    kinds = to_arrow_schema(T._parse_datatype_string(schema))
+    columns = zip(*rows) if rows else ([] for _ in kinds)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, kinds, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=kinds))

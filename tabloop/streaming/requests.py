@@ -18,7 +18,7 @@ from tabloop.sources.tables import run_rows
 
 
 def read_request_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Request files as they arrive; `request` tells repeated ids apart."""
+    """Request files as they arrive."""
     reader = (
         spark.readStream.schema(REQUEST)
         .option("mode", "PERMISSIVE")
@@ -27,13 +27,7 @@ def read_request_stream(spark: SparkSession, path: str, max_files: int | None =
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    found = reader.json(path)
-    line = F.coalesce(F.xxhash64("id", "rows", "columns").cast("string"), F.lit(""))
-    return found.select(
-        "*",
-        F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"), line).alias("request"),
-        F.col("_metadata.file_modification_time").alias("arrival"),
-    )
+    return reader.json(path).select("*", F.col("_metadata.file_modification_time").alias("arrival"))
 
 
 def respond(
@@ -87,7 +81,8 @@ def score_stream(
     """Answer arriving requests. Each micro-batch writes its own folder, so a repeated batch replaces itself."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        # a number per record tells repeated ids apart; files are cut the same way when read again
+        batch = batch.withColumn("request", F.monotonically_increasing_id()).persist()
         try:
             folder = f"batch={number}"
             batch.select("id", "rows", "columns", "request", "arrival").write.mode("overwrite").parquet(
