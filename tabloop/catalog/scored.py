@@ -321,7 +321,7 @@ def knn_leaves(spark, sf):
     points = table(spark, sf, "events").select(
         F.col("event_id").alias("row_id"), "event_type", F.col("value").alias("x"), F.col("user_id").cast("double").alias("y")
     )
-    near = neighbours.knn(points, 3, ["x", "y"], "event_type", leaf_rows=512)
+    near = neighbours.knn(points, 3, ["x", "y"], "event_type", leaf_rows=1024)
     return near.withColumn("distance", F.round("distance", 6))
 
 
