@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloop.catalog import query
-from tabloop.catalog import steps as s
 from tabloop.catalog.fixtures import (
     REQUEST_COLUMNS,
     REQUEST_ROWS,
-    captured,
     h,
     request_config,
     request_rows,

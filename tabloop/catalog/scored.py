@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tabloop.catalog import query
 from tabloop.catalog import steps as s
 from tabloop.catalog.fixtures import (
-    CATEGORICAL,
     COMPLETE,
     FEATURES,
     LABELLED,
@@ -15,6 +14,7 @@ from tabloop.catalog.fixtures import (
     VECTORS,
     captured,
     captured_sql,
+    config,
     earlier,
     earlier_sql,
     labelled,
@@ -28,6 +28,8 @@ from tabloop.catalog.fixtures import (
 )
 from tabloop.operators import columns as C
 from tabloop.operators import evaluate, neighbours, ordering, relabel, resample
+from tabloop.sources.tables import read_captured, write_pseudo_labels
+from tabloop.storage import scratch_path
 
 MODELS = ("m1", "m2", "m3", "m4")
 FOUR = [scored_sql(m, m) for m in MODELS]
@@ -288,6 +290,24 @@ def keep_prefix_relabel_rest(spark, sf):
     return C.append(kept, relabel.propagate_assigned(rest, votes, "feature4").select(*kept.columns))
 
 
+@query(
+    "pseudo_labels_round_trip",
+    sql(
+        COMPLETE,
+        captured_sql(),
+        "votes as (select feature4, label from (select feature4, label, count(*) as n from complete group by 1, 2) "
+        "qualify row_number() over (partition by feature4 order by n desc, label) = 1)",
+        final=f"select row_id, {', '.join(f'captured.{c}' for c in FEATURES)}, label from captured join votes using (feature4)",
+    ),
+)
+def pseudo_labels_round_trip(spark, sf):
+    """Captured features and their new label, written as training data and read back."""
+    path = scratch_path(spark, "captured")
+    votes = relabel.vote(labelled(spark, sf), "feature4", "label")
+    write_pseudo_labels(relabel.propagate_assigned(captured(spark, sf), votes, "feature4"), path, config())
+    return C.pair(*read_captured(spark, path))
+
+
 # neighbours
 
 
@@ -309,7 +329,7 @@ def knn_vectors(spark, sf):
 @query(
     "knn_leaves",
     sql(
-        f"points as (select event_id as row_id, event_type, value as x, user_id::double as y from events)",
+        "points as (select event_id as row_id, event_type, value as x, user_id::double as y from events)",
         f"near as (select a.row_id, min({{'d': {s.distance(('x', 'y'))}, 'i': b.row_id}}, 3) as l "
         "from points a join points b on a.event_type = b.event_type and a.row_id <> b.row_id group by 1)",
         final="""select row_id, cast(i as integer) as rank, l[i].i as nn_id, round(sqrt(l[i].d), 6) as distance

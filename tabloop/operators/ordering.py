@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloop.functions.keys import hash_key, order_key
-from tabloop.operators.ranks import BRACKET_ROWS, nth_values
+from tabloop.operators.ranks import BRACKET_ROWS, Nth, nth_values
 from tabloop.storage import pin_partitions, small_table
 
 TAKE_ROWS = 100_000  # above this a top-k is cut by a boundary instead of merged in one task
@@ -52,34 +52,35 @@ def prefix_filters(
     first = nth_values(df, {"k": terms[0]}, {"k": inner}, {"k": rows}, bracket_rows) if inner else {}
     built = {}
     for n in inner:
-        at, scope, need = first[("k", n)], F.lit(True), n
-        condition = F.lit(False)
-        for depth, term in enumerate(terms):
-            if depth:
-                at = nth_values(df.where(scope), {"k": term}, {"k": [need]}, bracket_rows=bracket_rows)[("k", need)]
-            condition = condition | (scope & (term < F.lit(at.value)))
-            scope = scope & (term == F.lit(at.value))
-            need -= at.below
-            if at.equal == need:
-                break
-        else:
-            raise ValueError("the order does not tell all rows apart")
-        built[n] = condition | scope
+        built[n] = _upto(df, terms, n, first[("k", n)], bracket_rows)
     return [F.lit(n >= rows) if n <= 0 or n >= rows else built[n] for n in ns]
 
 
+def _upto(df: DataFrame, terms: Sequence[Column], n: int, at: Nth, bracket_rows: int = BRACKET_ROWS) -> Column:
+    """Condition for the first n rows, given the n-th value of the first term; ties go on to the next term."""
+    term, value = terms[0], F.lit(at.value)
+    need = n - at.below
+    if at.equal == need:
+        return term <= value
+    if len(terms) == 1:
+        raise ValueError("the order does not tell all rows apart")
+    tied = df.where(term == value)
+    following = nth_values(tied, {"k": terms[1]}, {"k": [need]}, {"k": at.equal}, bracket_rows)[("k", need)]
+    return (term < value) | ((term == value) & _upto(tied, terms[1:], need, following, bracket_rows))
+
+
 def prefix_by_group(
     df: DataFrame, group: str, ns: Mapping[object, int], sizes: Mapping[object, int], order: Sequence[str | Column]
 ) -> Column:
     """Condition that holds for exactly the first ns[g] rows of every group g of `sizes[g]` rows."""
-    first_term, *rest = [ascending(df, t) for t in order]
+    terms = [ascending(df, t) for t in order]
     inner = {g: n for g, n in ns.items() if 0 < n < sizes[g]}
     names = {g: f"g{i}" for i, g in enumerate(inner)}
     member = {g: F.col(group) == F.lit(g) for g in ns}
     first = (
         nth_values(
             df,
-            {names[g]: F.when(member[g], first_term) for g in inner},
+            {names[g]: F.when(member[g], terms[0]) for g in inner},
             {names[g]: [n] for g, n in inner.items()},
             {names[g]: sizes[g] for g in inner},
         )
@@ -91,13 +92,7 @@ def prefix_by_group(
         if n >= sizes[g]:
             condition = condition | member[g]
         elif g in inner:
-            at = first[(names[g], n)]
-            below, scope = first_term < F.lit(at.value), first_term == F.lit(at.value)
-            need = n - at.below
-            tie = scope
-            if need < at.equal:
-                tie = scope & prefix_filters(df.where(member[g] & scope), [need], rest, at.equal)[0]
-            condition = condition | (member[g] & (below | tie))
+            condition = condition | (member[g] & _upto(df.where(member[g]), terms, n, first[(names[g], n)]))
     return condition
 
 

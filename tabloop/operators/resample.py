@@ -57,7 +57,7 @@ def _synthesise(
     for g in wanted:
         if sizes[g] <= k:
             raise ValueError(f"{k} neighbours need more than the {sizes[g]} rows of {group} = {g}")
-    members = df.where(F.col(group).isin(*wanted))
+    members = settle(df.where(F.col(group).isin(*wanted)))  # only the rows of classes to raise are written
     whole = {g: n // sizes[g] for g, n in wanted.items()}
     extra = {g: n % sizes[g] for g, n in wanted.items()}
     first = prefix_by_group(members, group, extra, sizes, shuffled(members, seed, row_id))
@@ -98,7 +98,7 @@ def smote(
 
     "auto" raises every class, "minority" only the smallest (ties to the smallest label).
     """
-    df = settle(df.select(row_id, *cols, label))
+    df = df.select(row_id, *cols, label)
     sizes = collect_counts(df, label)
     top = max(sizes.values(), default=0)
     if strategy == "auto":
@@ -140,7 +140,7 @@ def cluster_smote(
     A cluster takes part when its share of the class reaches `balance_threshold` and it has more than k of
     its rows. New rows are shared out by sparsity, rounded up per cluster.
     """
-    df = settle(df.select(row_id, cluster, *cols, label))
+    df = df.select(row_id, cluster, *cols, label)
     classes = collect_counts(df, label)
     smallest = min(classes, key=lambda g: (classes[g], g))
     missing = max(classes.values()) - classes[smallest]

@@ -53,8 +53,11 @@ def parse_requests(
     """
     reason = reject_reason(df)
     rejects = df.where(reason.isNotNull()).select("id", reason.alias("reason"), *carry)
-    rows = df.where(reason.isNull()).select("id", *carry, "columns", F.posexplode("rows").alias("row_pos", "cells"))
-    cells = {c: F.get("cells", (F.array_position("columns", c) - 1).cast("int")) for c in cfg.features}
+    # where each feature stands is found once per request, not once per row
+    spots = [(F.array_position("columns", c) - 1).cast("int").alias(f"_at_{c}") for c in cfg.features]
+    placed = df.where(reason.isNull()).select("id", *carry, "rows", *spots)
+    rows = placed.select("*", F.posexplode("rows").alias("row_pos", "cells"))
+    cells = {c: F.get("cells", F.col(f"_at_{c}")) for c in cfg.features}
     typed = {c: cells[c].try_cast(cfg.feature_type(c)) for c in cfg.features}
     error = F.lit(False)
     for c in cfg.features:
