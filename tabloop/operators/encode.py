@@ -54,10 +54,10 @@ def _rank_by_range(distinct: DataFrame) -> DataFrame:
 
 
 def _small_columns(stats: DataFrame, cols: Sequence[str], limit: int) -> dict[str, list]:
-    sizes = {r.col: r["count"] for r in stats.where(F.col("col").isin(*cols)).groupBy("col").count().collect()}
-    small = [c for c in cols if sizes.get(c, 0) <= limit]
-    rows = stats.where(F.col("col").isin(*small)).orderBy("col", "code").collect() if small else []
-    return {c: [r for r in rows if r.col == c] for c in small}
+    """Fitted rows of the columns with at most `limit` categories; at most limit + 1 rows per column are read."""
+    first = stats.where(F.col("col").isin(*cols) & (F.col("code") <= limit)).collect()
+    rows = {c: sorted((r for r in first if r.col == c), key=lambda r: r.code) for c in cols}
+    return {c: found for c, found in rows.items() if len(found) <= limit}
 
 
 def apply_codes(

@@ -263,8 +263,8 @@ def _pack(points: DataFrame, ids: int) -> DataFrame:
     """Distinct vectors with their smallest ids; the row limit per vector applies before the shuffle too."""
     order = Window.partitionBy("block", "vec").orderBy("id")
     few = points.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= ids)
-    packed = few.groupBy("block", "vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    return packed.select("block", "vec", "ids", F.element_at("ids", 1).alias("qid"))
+    following = F.collect_list("id").over(order.rowsBetween(Window.currentRow, ids - 1))
+    return few.withColumn("ids", following).where("_r = 1").select("block", "vec", "ids", F.col("id").alias("qid"))
 
 
 def knn_lists(
@@ -281,7 +281,7 @@ def knn_lists(
     points = _points(data, cols, block, row_id)
     check = points.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.expr("exists(vec, x -> x is null)") | F.col("vec").isNull()).alias("bad"),
+        F.count_if(F.expr("exists(vec, x -> x is null or isnan(x))") | F.col("vec").isNull()).alias("bad"),
         F.max(F.size("vec")).alias("dims"),
     ).first()
     if check.bad:

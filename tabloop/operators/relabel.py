@@ -27,19 +27,12 @@ def consensus(
     """Combine several scorings of the same rows.
 
     The first table's label stays when all labels are equal, its confidence is within `max_dev` of the mean
-    and the smallest confidence reaches `min_prob`; otherwise it is flipped. `prob` becomes the mean. One
-    stacked table and one shuffle on the unique row id, whatever the number of models.
+    and the smallest confidence reaches `min_prob`; otherwise it is flipped. `prob` becomes the mean. The
+    labels of all models are stacked and combined in one shuffle on the unique row id, whatever their number;
+    the other columns of the first table meet the result on the same partitioning.
     """
     extras = [c for c in dfs[0].columns if c not in (on, "label_model", "prob")]
-    parts = []
-    for i, d in enumerate(dfs):
-        features = F.struct(*extras) if extras else F.lit(0)
-        kept = features if i == 0 else F.lit(None)
-        part = d.select(on, F.lit(i).alias("_m"), "label_model", "prob", kept.alias("_x"))
-        parts.append(part)
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.union(part)
+    stacked = append(*[d.select(on, F.lit(i).alias("_m"), "label_model", "prob") for i, d in enumerate(dfs)])
     here = [F.col("_m") == i for i in range(len(dfs))]
     grouped = stacked.groupBy(on).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -47,15 +40,13 @@ def consensus(
         F.max("label_model").alias("_most"),
         F.max(F.when(here[0], F.col("label_model"))).alias("label_model"),
         *[F.max(F.when(h, F.col("prob"))).alias(f"_p{i}") for i, h in enumerate(here)],
-        F.any_value("_x", True).alias("_x"),
     ).where(F.col("_n") == len(dfs))
     probs = [F.col(f"_p{i}") for i in range(len(dfs))]
     mean = sum(probs[1:], probs[0]) / len(dfs)
     agreed = (F.col("_least") == F.col("_most")) & (F.abs(probs[0] - mean) < max_dev) & (F.least(*probs) >= min_prob)
     label = F.when(agreed, F.col("label_model")).otherwise(flip("label_model"))
-    return grouped.select(
-        on, *[F.col(f"_x.{c}").alias(c) for c in extras], label.cast("int").alias("label_model"), mean.alias("prob")
-    )
+    decided = grouped.select(on, label.cast("int").alias("label_model"), mean.alias("prob"))
+    return dfs[0].select(on, *extras).join(decided, on) if extras else decided
 
 
 def model_spread(dfs: Sequence[DataFrame], on: str = "row_id") -> DataFrame:
