@@ -10,10 +10,12 @@ given order, ties go to the smaller id.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from pyspark.sql import types as T
 from tabloop.operators.skew import lookup_join
 from tabloop.storage import settle, small_table
 
+register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
+
 LEAF_ROWS = 8192  # vectors of one leaf, held by one task
 VISIT_ROWS = 20_000  # queries of one leaf, held by one task
 SAMPLE_ROWS = 100_000  # vectors the driver looks at to place splits
