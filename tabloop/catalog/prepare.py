@@ -36,7 +36,7 @@ from tabloop.sources import tables
 from tabloop.storage import scratch_path
 
 KEY = h("row_id||':1242'")
-CLEAN = f"clean as (select distinct row_id, {', '.join(FEATURES)}, label from labelled)"
+CLEAN = f"clean as (select min(row_id) as row_id, {', '.join(FEATURES)}, label from labelled group by {', '.join(FEATURES)}, label)"
 PREPARED = [
     LABELLED,
     CLEAN,
@@ -84,6 +84,18 @@ def distinct_rows(spark, sf):
     return C.distinct_rows(table(spark, sf, "lineitem").select(*cols))
 
 
+@query(
+    "distinct_features",
+    """select min(l_orderkey * 8 + l_linenumber) as row_id, l_returnflag, l_linestatus, l_discount, l_tax from lineitem
+group by l_returnflag, l_linestatus, l_discount, l_tax""",
+)
+def distinct_features(spark, sf):
+    """Rows alike in all but their id are one; here few remain of the whole table."""
+    row_id = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id")
+    rows = table(spark, sf, "lineitem").select(row_id, "l_returnflag", "l_linestatus", "l_discount", "l_tax")
+    return C.distinct_rows(rows, "row_id")
+
+
 @query("class_counts", "select l_returnflag, count(*) as n from lineitem group by l_returnflag")
 def counts(spark, sf):
     return class_counts(table(spark, sf, "lineitem"), "l_returnflag")

@@ -36,7 +36,7 @@ def prepared(multi: bool) -> list[str]:
     label = "label_multi" if multi else "label"
     return [
         COMPLETE,
-        f"raw as (select distinct row_id, {', '.join(FEATURES)}, {label} as label from complete)",
+        f"raw as (select min(row_id) as row_id, {', '.join(FEATURES)}, {label} as label from complete group by all)",
         s.index_sql("idx", "raw"),
         s.coded_sql("coded", "raw", "idx", KEEP),
         s.split_sql("parts", "coded"),
@@ -217,7 +217,7 @@ def recipe_2_2(spark, sf):
         *prepared(False),
         SCALE,
         earlier_sql(),
-        "earlier_d as (select distinct * from earlier)",
+        "earlier_d as (select min(row_id) as row_id, * exclude (row_id) from earlier group by all)",
         s.coded_sql("earlier0", "earlier_d", "idx", KEEP),
         f"both0 as (select {KEEP}, feature3, feature4 from train0 union all select {KEEP}, feature3, feature4 from earlier0)",
         scaled("both1", "both0"),
@@ -259,7 +259,7 @@ def recipe_3_1(spark, sf):
         scaled("cap1", "cap_c"),
         *s.smote_sql("cap2", "cap1", "label", FEATURES, strategy="minority"),
         earlier_sql(multi=True),
-        "earlier_d as (select distinct * from earlier)",
+        "earlier_d as (select min(row_id) as row_id, * exclude (row_id) from earlier group by all)",
         s.split_sql("earlier_p", "earlier_d", 0.3, 42),
         s.coded_sql("earlier0", "earlier_p", "idx", f"{KEEP}, split"),
         classes("earlier_c", "earlier0"),

@@ -101,8 +101,12 @@ def predictions_to_int(df: DataFrame, col: str = "prediction") -> DataFrame:
     return df.withColumn(col, F.col(col).cast("int"))
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def distinct_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
+    """Distinct rows; with `row_id` rows that are alike but for it are one, under the smallest id."""
+    if row_id is None:
+        return df.dropDuplicates()
+    rest = [c for c in df.columns if c != row_id]
+    return df.groupBy(*rest).agg(F.min(row_id).alias(row_id)).select(*df.columns)
 
 
 def append(*dfs: DataFrame, source: Sequence[str] | None = None) -> DataFrame:

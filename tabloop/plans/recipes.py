@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.config import ProblemConfig
-from tabloop.operators.columns import append, drop_columns
+from tabloop.operators.columns import append, distinct_rows, drop_columns
 from tabloop.operators.encode import apply_codes, encode_labels, fit_labels
 from tabloop.operators.neighbours import nearest_centroid
 from tabloop.operators.ordering import cut_n, cut_share, first_n, first_share, random_cut, shuffled, split
@@ -125,7 +125,7 @@ def _phase2_multi(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Dat
 
 def _phase3_binary(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, DataFrame]:
     cfg = inp.cfg
-    earlier = _coded(inp.earlier.select(*_columns(cfg)).dropDuplicates(), inp)
+    earlier = _coded(distinct_rows(inp.earlier.select(*_columns(cfg)), "row_id"), inp)
     both = append(inp.train.select(*_columns(cfg)), earlier)
     scale = fit_robust(inp.train, cfg.features)
     raised = _smote(apply_robust(both, scale), inp)
@@ -146,7 +146,7 @@ def _phase3_multi(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Dat
     def ready(df: DataFrame) -> DataFrame:
         return apply_robust(encode_labels(df.select(*_columns(cfg)), labels, cfg.target), scale)
 
-    earlier = split(inp.earlier.select(*_columns(cfg)).dropDuplicates(), EARLIER_TEST_SHARE, EARLIER_SEED)
+    earlier = split(distinct_rows(inp.earlier.select(*_columns(cfg)), "row_id"), EARLIER_TEST_SHARE, EARLIER_SEED)
     earlier_train = _plain(ready(_coded(earlier.where("split = 'train'"), inp)), cfg)
     earlier_test = _plain(ready(_coded(earlier.where("split = 'test'"), inp)), cfg)
     train = _smote(ready(inp.train), inp)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tabloop.config import ProblemConfig
 from tabloop.functions.keys import hash_key
 from tabloop.functions.numbers import narrow
+from tabloop.operators.skew import lookup_join
 from tabloop.storage import settle
 
 REQUEST = T.StructType(
@@ -104,19 +105,18 @@ def collect_per_key(
 ) -> DataFrame:
     """(key, part, values): the values of each key in order of a unique integer column.
 
-    Keys with up to `limit` rows give one list, part 0. Longer ones are cut by ranges of the unique order
-    column, each of which can hold at most `limit` rows, so no list and no task grows with a key.
+    Keys with up to `limit` rows give one list, part 0. Longer ones, and rows without a key, are cut by ranges
+    of the unique order column, each of which can hold at most `limit` rows, so no list grows with a key.
     """
-    kind = df.schema[key].dataType
     slim = df.select(F.col(key), F.col(order).cast("bigint").alias("_o"), value.alias("_v"))
-    big = settle(slim.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(key))
+    big = slim.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    big = settle(big.select(key, F.lit(True).alias("_long")))
+    by_range = F.col(key).isNull()
     if big.limit(1).count():
-        # at most rows / limit keys
-        hot = F.broadcast(big.select(F.col(key).cast(kind).alias(key), F.lit(True).alias("_hot")))
-        part = F.when(F.col("_hot"), F.floor(F.col("_o") / limit)).otherwise(F.lit(0))
-        slim = slim.join(hot, key, "left").withColumn("part", part.cast("bigint"))
-    else:
-        slim = slim.withColumn("part", F.lit(0).cast("bigint"))
+        slim = lookup_join(slim, big, [key])
+        by_range = by_range | F.coalesce("_long", F.lit(False))
+    part = F.when(by_range, F.floor(F.col("_o") / limit)).otherwise(F.lit(0)).cast("bigint")
+    slim = slim.withColumn("part", part)
     lists = slim.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_o", "_v"))).alias("_l"))
     return lists.select(key, "part", F.col("_l._v").alias(name))
 
