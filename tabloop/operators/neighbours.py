@@ -29,6 +29,7 @@ LEAF_ROWS = 8192  # vectors of one leaf, held by one task
 VISIT_ROWS = 20_000  # queries of one leaf, held by one task
 SAMPLE_ROWS = 100_000  # vectors the driver looks at to place splits
 TILE_CELLS = 2**20  # distances held at a time
+MAX_TASKS = 20_000  # partitions of a search
 MAX_LEAVES = 200_000  # leaf boxes are copied to every task
 
 
@@ -157,8 +158,12 @@ def _best(q: np.ndarray, d: np.ndarray, ids: np.ndarray, owner: np.ndarray, k: i
         yield entry_row[keep] + start, entry_dist[keep], entry_id[keep]
 
 
-def _search(visits: DataFrame, leaves: DataFrame, k: int) -> DataFrame:
-    """Best k entries (qid, d2, nn) of every visit of a query to a leaf, in groups of bounded size."""
+def _search(visits: DataFrame, leaves: DataFrame, k: int, leaf_count: int, sizes: dict | None = None) -> DataFrame:
+    """Best k entries (qid, d2, nn) of every visit of a query to a leaf, in groups of bounded size.
+
+    `sizes` are the visits per leaf where they are known. The number of partitions follows the number of
+    leaves: a leaf is few bytes but much work, so small partitions must not be merged.
+    """
 
     def compare(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(data):
@@ -173,10 +178,13 @@ def _search(visits: DataFrame, leaves: DataFrame, k: int) -> DataFrame:
         ]
         return pd.concat(parts)
 
-    counts = visits.groupBy("block", "leaf").count().select(
-        "block", "leaf", F.ceil(F.col("count") / VISIT_ROWS).cast("int").alias("chunks")
-    )
-    counts = F.broadcast(counts)  # one row per leaf, at most MAX_LEAVES
+    if sizes is None:
+        counts = visits.groupBy("block", "leaf").count()
+    else:
+        rows = [(block, leaf, n) for (block, leaf), n in sizes.items()]
+        counts = small_table(visits.sparkSession, rows, "block string, leaf bigint, count bigint")
+    chunks = F.ceil(F.col("count") / VISIT_ROWS).cast("int").alias("chunks")
+    counts = F.broadcast(counts.select("block", "leaf", chunks))  # one row per leaf, at most MAX_LEAVES
     queries = visits.join(counts, ["block", "leaf"]).select(
         "block", "leaf", F.pmod(F.xxhash64("qid"), F.col("chunks")).cast("int").alias("chunk"), "qid", "vec"
     )
@@ -185,7 +193,9 @@ def _search(visits: DataFrame, leaves: DataFrame, k: int) -> DataFrame:
     )
     keys = ["block", "leaf", "chunk"]
     data = data.select(*[F.col(c).alias(c) for c in data.columns])  # both sides may come from one table
-    return queries.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(compare, "qid bigint, d2 double, nn bigint")
+    tasks = max(int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(leaf_count // 8, MAX_TASKS))
+    sides = [d.repartition(tasks, *keys).groupBy(*keys) for d in (queries, data)]
+    return sides[0].cogroup(sides[1]).applyInPandas(compare, "qid bigint, d2 double, nn bigint")
 
 
 def _merge(entries: DataFrame, k: int) -> DataFrame:
@@ -301,7 +311,7 @@ def knn_lists(
     if trees:  # leaf numbers come from Python: compute them once
         assigned = settle(assigned)
         searched = assigned if own else settle(searched)
-    lists = _merge(_search(searched, assigned, reach), reach)
+    lists = _merge(_search(searched, assigned, reach, len(sizes), sizes if own else None), reach)
     if trees:
         lists = settle(lists)
         radius = F.when(F.size("entries") == reach, F.element_at("entries", -1)["d2"]).otherwise(F.lit(float("inf")))
@@ -313,7 +323,7 @@ def knn_lists(
         )
         visits = settle(_further_visits(more, trees, boxes, check.dims))
         entries = lists.select("qid", F.explode("entries").alias("e")).select("qid", "e.d2", "e.nn")
-        lists = _merge(entries.unionByName(_search(visits, assigned, reach)), reach)
+        lists = _merge(entries.unionByName(_search(visits, assigned, reach, len(sizes))), reach)
     rows = check.n if own else asked.count()
     if (sum(sizes.values()) if own else asked_packs.count()) == rows:
         listed = lists.select(F.col("qid").alias("id"), "entries")  # no two rows alike
