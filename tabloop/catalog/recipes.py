@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tabloop.catalog import query
@@ -151,7 +153,7 @@ def recipe_1_2(spark, sf):
     means = train.groupBy(F.col("feature4").alias("c")).agg(*[F.round(F.avg(c), 6).alias(c) for c in FEATURES]).collect()
     centres = [(i, *[r[c] for c in FEATURES]) for i, r in enumerate(sorted(means, key=lambda r: r.c))]
     kinds = ", ".join(["cluster int", *[f"{c} double" for c in FEATURES]])
-    fixed = RecipeInputs(**{**given.__dict__, "centroids": small_table(spark, centres, kinds)})
+    fixed = replace(given, centroids=small_table(spark, centres, kinds))
     return result(recipe("phase-1", "prob-2", fixed))
 
 
@@ -183,7 +185,7 @@ def recipe_2_1(spark, sf):
     raw = labelled(spark, sf, gaps=False).select("row_id", *FEATURES, "label")
     key = F.conv(F.substring(F.md5(F.concat(F.col("row_id").cast("string"), F.lit(":scored"))), 1, 8), 16, 10).cast("bigint")
     scored = raw.withColumn("prob", (key % 5000 + 5000) / 10000)
-    return result(recipe("phase-2", "prob-1", RecipeInputs(**{**given.__dict__, "scored": scored})))
+    return result(recipe("phase-2", "prob-1", replace(given, scored=scored)))
 
 
 @query(

@@ -136,8 +136,3 @@ def export_requests(
 def write_submission(df: DataFrame, path: str, key: str = "batch_id", label: str = "label", order: str = "row_id") -> None:
     """Labels of every batch, in row order, as JSON records."""
     collect_per_key(df, key, F.col(label).cast("int"), order).write.mode("overwrite").json(path)
-
-
-def with_fallback(prediction: str = "prediction") -> Column:
-    """Prediction of a row, or 0 when it could not be scored."""
-    return F.coalesce(F.col(prediction).cast("double"), F.lit(0.0)).alias(prediction)
