@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloop.llm import bpe, nearjoin, vectors, warc
+from tabloop.llm import bpe, fingerprints, nearjoin, quality, toxicity, vectors, warc
+from tabloop.llm.labelled import held_out
 from tabloop.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,28 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op1_weighted_sampling_fingerprints")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, sf, "documents"))
+
+
+@query("op3_toxicity_factorisation_machine")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    machine = toxicity.fit(docs, table(spark, sf, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), machine)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
+@query("op4_quality_empirical_bayes")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    classifier = quality.fit(docs, table(spark, sf, "labels"))
+    judged = quality.judge(docs, classifier)
+    return judged.select("doc_id", held_out().alias("held_out"), "p_document", "site_rate", "quality", "keep")
+
+
 @query("op5_warc_chunks")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "warc")

@@ -41,41 +41,53 @@ def _powers(base: int, size: int) -> np.ndarray:
     return known[:size]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words in `data` and where they begin; no word spans one of `starts`."""
-    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    inside = ~blank
-    opens = inside.copy()
-    opens[1:] &= blank[:-1]
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z to a-z."""
+    return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+
+
+def _blank(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _spans(data: np.ndarray, starts: np.ndarray):
+    """Where the words of one piece begin, their lengths, and the sums and inverse powers that hash them."""
+    inside = ~_blank(data)
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
     edge = starts[(starts > 0) & (starts < len(data))]
     opens[edge] = inside[edge]
-    closes = inside.copy()
-    closes[:-1] &= blank[1:]
     closes[edge - 1] = inside[edge - 1]
     begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, len(data)), out=sums[1:])
-    raw = (sums[end] - sums[begin]) * _powers(pow(BASE, -1, 2**64), len(data))[begin]
-    return mixed(raw), begin
+    return begin, end - begin, sums, _powers(pow(BASE, -1, 2**64), len(data))
 
 
-def all_word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As `word_hashes`, in pieces that end at a blank byte or a text's end."""
-    if len(data) <= PIECE_BYTES:
-        return word_hashes(data, starts) if len(data) else (np.empty(0, np.uint64), np.empty(0, np.int64))
-    hashes, places, at = [], [], 0
+def word_spans(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
+    """Per piece of the bytes: ((begins in the piece, begins in all), lengths, sums, inverse powers).
+
+    Pieces end at a blank byte or at the end; no word spans one of `starts`. The hash of the bytes from b to e is
+    (sums[e] - sums[b]) * inverse[b].
+    """
+    at = 0
     while at < len(data):
         stop = min(len(data), at + PIECE_BYTES)
-        while stop < len(data) and not (data[stop] == 32 or 9 <= data[stop] <= 13):
-            ahead = data[stop : stop + PIECE_BYTES]
-            found = np.flatnonzero((ahead == 32) | ((ahead >= 9) & (ahead <= 13)))
+        while stop < len(data) and not _blank(data[stop : stop + 1])[0]:
+            found = np.flatnonzero(_blank(data[stop : stop + PIECE_BYTES]))
             stop = stop + int(found[0]) if len(found) else min(len(data), stop + PIECE_BYTES)
-        part = starts[(starts > at) & (starts < stop)] - at
-        hashed, begin = word_hashes(data[at:stop], part)
-        hashes.append(hashed)
-        places.append(begin + at)
+        begin, length, sums, inverse = _spans(data[at:stop], starts[(starts > at) & (starts < stop)] - at)
+        yield (begin, begin + at), length, sums, inverse
         at = stop
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in the bytes, and where they begin."""
+    hashes, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for (begin, place), length, sums, inverse in word_spans(lowered(data), starts):
+        hashes.append(mixed((sums[begin + length] - sums[begin]) * inverse[begin]))
+        places.append(place)
     return np.concatenate(hashes), np.concatenate(places)
 
 
@@ -90,7 +102,7 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     while at < size:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE_BYTES, "right")) - 1)
         bounds = offsets[at : to + 1] - offsets[at]
-        hashed, begin = all_word_hashes(buffer[offsets[at] : offsets[to]], bounds[:-1])
+        hashed, begin = word_hashes(buffer[offsets[at] : offsets[to]], bounds[:-1])
         cut = np.searchsorted(begin, bounds)
         joined = hashed
         for step in range(1, width):
