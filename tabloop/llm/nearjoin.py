@@ -4,13 +4,15 @@
 2. Hashes are put in one order for all texts: those of hash buckets that many texts use go last. Two sets of
    similarity t or more share one of their first n - ceil(t n) + 1 hashes, so each of these hashes makes a tile.
 3. In a tile, nodes are sorted by size; only sizes within t of each other are compared. The parity bitmaps of two
-   sets differ in at most as many bits as the sets do in elements, which bounds the overlap from above.
-4. What the bitmaps do not rule out is verified on the sorted hash arrays. The first pass takes from every tile a
-   spanning forest of its possible links, so a group of n copies costs n - 1 verifications; the second pass takes
-   all possible links whose ends still lie in different components.
-
-Tiles of more than `tile_rows` nodes are cut into blocks, and every pair of blocks is a task's work. No pair is left
-out by size. Texts without words, empty or null are linked with nothing. Rows may repeat an identifier: rows with
+   sets differ in at most as many bits as the sets do in elements, which bounds the overlap from above. What the
+   bitmaps do not rule out is verified on the sorted hash arrays.
+4. The first pass compares each node of a tile with the smallest one of a fitting size: as many pairs as rows, and
+   most groups of copies are one component after it. The second pass takes the pairs of different components: all
+   of them from tiles of up to `small_rows` nodes, from larger ones a spanning forest of what the bitmaps allow. The
+   third takes all pairs that the bitmaps allow in large tiles and whose ends still lie in different components.
+
+Tiles of more than `tile_rows` nodes are cut into blocks, and every pair of blocks is a task's work. No pair of
+different components is left out by size. Texts without words, empty or null are linked with nothing. Rows may repeat an identifier: rows with
 equal sets are linked. A null identifier takes part, but names a component only if no row in it has one; the
 component is null then. Extra columns are ignored. An empty table gives an empty table.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tabloop.llm.components import components
 from tabloop.llm.shingles import shingle_sets
-from tabloop.operators.skew import lookup_join
+from tabloop.operators.skew import fits_broadcast, lookup_join
 from tabloop.storage import settle
 
 register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
@@ -38,10 +40,9 @@ WORDS = 3
 THRESHOLD = (90, 100)  # links need 100 * intersection >= 90 * union
 BUCKETS = 2**18  # of the frequency table that orders hashes; its size never changes
 TILE_ROWS = 4096
-BITS = (128, 16384)  # narrowest and widest bitmap
-BITS_PER_HASH = 4
+SMALL_ROWS = 64  # tiles up to this size list their pairs without bitmaps
+BITS = (128, 32768)  # narrowest and widest bitmap
 LEVEL_BITS = 4
-VERIFY_ROWS = 256
 
 SETS = "doc_id bigint, n bigint, digest binary, prefix array<bigint>, bitmap binary"
 
@@ -53,7 +54,7 @@ def prefix_size(n: int, threshold: tuple[int, int]) -> int:
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
     """Parity of the hashes that fall on each bit; a wider map folds into a narrower one by exclusive or."""
-    wanted = max(BITS[0], min(BITS[1], BITS_PER_HASH * len(hashes)))
+    wanted = max(BITS[0], min(BITS[1], len(hashes)))
     width = 1 << (wanted - 1).bit_length()
     flips = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little")
@@ -228,8 +229,8 @@ def _tiles(rows: DataFrame, tile_rows: int) -> DataFrame:
 
 
 def candidates(rows: DataFrame, maps: DataFrame, forest: bool, threshold, tile_rows: int) -> DataFrame:
-    """Distinct (a, b) pairs of nodes that the bitmaps of some tile do not rule out."""
-    tiled = _tiles(rows, tile_rows).join(maps, "node")
+    """Distinct (a, b) pairs of nodes that the bitmaps do not rule out, of tiles that hold bitmaps."""
+    tiled = _tiles(rows, tile_rows).join(maps.select("node", "bitmap"), "node")
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -288,9 +289,99 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> D
     return with_b.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def _unique(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs with the greater end first."""
+    ends = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
+def star_pairs(live: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Each row of a tile with the tile's smallest of a fitting size.
+
+    Reads the tiles as they were written, in order. A tile that two tasks or batches share has a star in each; the
+    later passes do not rely on these pairs.
+    """
+    part, whole = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, node, n = (batch.column(i).to_numpy() for i in range(3))
+            if not len(key):
+                continue
+            start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
+            pivot = start.copy()
+            while True:  # sizes rise inside a tile: step to the first that fits
+                off = (whole * n[pivot] < part * n) & (pivot < np.arange(len(key)))
+                if not off.any():
+                    break
+                pivot[off] += 1
+            pair = pivot < np.arange(len(key))
+            yield _unique(node[pair], node[pivot[pair]])
+
+    return live.select("key", "node", "n").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def small_tile_pairs(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """All pairs of fitting sizes and different roots, of tiles that are small (`big` is false)."""
+    part, whole = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            columns = [batch.column(i).to_numpy() for i in range(4)]
+            if held is not None:
+                columns = [np.concatenate(c) for c in zip(held, columns)]
+            if not len(columns[0]):
+                continue
+            whole_keys = int(np.searchsorted(columns[0], columns[0][-1]))  # the last key may go on
+            held = [c[whole_keys:] for c in columns]
+            if whole_keys:
+                yield paired([c[:whole_keys] for c in columns])
+        if held is not None:
+            yield paired(held)
+
+    def paired(columns: list[np.ndarray]) -> pa.RecordBatch:
+        key, node, n, root = columns
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for step in range(1, len(key)):
+            same = key[step:] == key[:-step]
+            if not same.any():
+                break
+            fits = same & (whole * n[:-step] >= part * n[step:]) & (root[step:] != root[:-step])
+            left.append(node[step:][fits])
+            right.append(node[:-step][fits])
+        return _unique(np.concatenate(left), np.concatenate(right))
+
+    dealt = rows.where("not big").select("key", "node", "n", "root").repartition("key")
+    dealt = dealt.sortWithinPartitions("key", "n", "node")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def pruned(pairs: DataFrame, maps: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those pairs whose bitmaps leave enough room for the overlap, as a written table."""
+    ends = [maps.select(F.col("node").alias(e), F.col("n").alias(f"n_{e}"), F.col("bitmap").alias(f"m_{e}")) for e in "ab"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(i).to_numpy() for i in (2, 3)]
+            differing = []
+            for x, y in zip(batch.column(4), batch.column(5)):
+                x, y = (np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in (x, y))
+                while len(x) > len(y):
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                while len(y) > len(x):
+                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                differing.append(int(np.bitwise_count(x ^ y).sum()))
+            keep = possible(*sizes, np.array(differing, dtype=np.int64), threshold)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    joined = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "n_a", "n_b", "m_a", "m_b")
+    return settle(joined.mapInArrow(run, "a bigint, b bigint"), "candidates")
+
+
 def near_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
-    threshold: tuple[int, int] = THRESHOLD, tile_rows: int = TILE_ROWS,
+    threshold: tuple[int, int] = THRESHOLD, tile_rows: int = TILE_ROWS, small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest identifier reachable by links) of every row."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -302,20 +393,29 @@ def near_components(
     )
     kept = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     kept = kept.select(F.col("row").alias("node"), "n", "prefix", "bitmap")
-    tokens = kept.select("node", "n", F.explode("prefix").alias("key"))
-    live = settle(_shared(tokens), "tiles")
-    maps = kept.select("node", "bitmap").join(live.select("node").distinct(), "node", "left_semi")
+    live = settle(_shared(kept.select("node", "n", F.explode("prefix").alias("key"))), "tiles")
+    maps = kept.select("node", "n", "bitmap").join(live.select("node").distinct(), "node", "left_semi")
     maps = settle(maps, "bitmaps")
 
-    first = candidates(live.withColumn("root", F.col("node")), maps, True, threshold, tile_rows)
-    sets = settle(hash_arrays(docs, rows, first, words), "arrays")
-    links = settle(verified(first, sets, threshold), "links")
+    found = pruned(star_pairs(live, threshold), maps, threshold)
+    links = settle(verified(found, hash_arrays(docs, rows, found, words), threshold), "links")
+    big = settle(live.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small_rows).select("key", F.lit(True).alias("big")), "big")
+    flagged = lookup_join(live, big, ["key"]).withColumn("big", F.coalesce("big", F.lit(False)))
     roots = settle(components(links), "roots")
-    joined = lookup_join(live, roots, ["node"]).withColumn("root", F.coalesce("root", "node"))
-    rest = candidates(joined, maps, False, threshold, tile_rows).join(first, ["a", "b"], "left_anti")
-    more = settle(verified(rest, sets, threshold), "links")
-    if more.limit(1).count():
-        roots = settle(components(links.unionByName(more)), "roots")
+    mixed = _with_roots(flagged, roots)
+    any_big = big.limit(1).count() > 0
+    more = small_tile_pairs(mixed, threshold)
+    if any_big:
+        more = more.unionByName(candidates(mixed.where("big"), maps, True, threshold, tile_rows)).distinct()
+    more = pruned(more.join(found, ["a", "b"], "left_anti"), maps, threshold)
+    links = links.unionByName(settle(verified(more, hash_arrays(docs, rows, more, words), threshold), "links"))
+    roots = settle(components(links), "roots")
+    if any_big:
+        rest = candidates(_with_roots(flagged.where("big"), roots), maps, False, threshold, tile_rows)
+        rest = settle(rest.join(found, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti"), "candidates")
+        last = settle(verified(rest, hash_arrays(docs, rows, rest, words), threshold), "links")
+        if last.limit(1).count():
+            roots = settle(components(links.unionByName(last)), "roots")
 
     member = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = member.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -326,6 +426,10 @@ def near_components(
     return out.select("doc_id", "n_shingles", alone.alias("component_id"))
 
 
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return lookup_join(rows, roots, ["node"]).withColumn("root", F.coalesce("root", "node"))
+
+
 def _shared(tokens: DataFrame) -> DataFrame:
     """Rows of keys that at least two nodes have: other keys cannot make a pair."""
 
@@ -346,7 +450,7 @@ def _shared(tokens: DataFrame) -> DataFrame:
             held = None if again[-1] else batch.slice(len(keys) - 1)
             yield batch.filter(pa.array(again))
 
-    dealt = tokens.select("key", "node", "n").repartition("key").sortWithinPartitions("key")
+    dealt = tokens.select("key", "node", "n").repartition("key").sortWithinPartitions("key", "n", "node")
     return dealt.mapInArrow(run, "key bigint, node bigint, n bigint")
 
 
@@ -365,5 +469,7 @@ def hash_arrays(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int)
             made = pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], names=["node", "hashes"])
             yield made.filter(pa.array(same, pa.bool_()))
 
-    with_text = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"])).select("node", "digest", "text")
-    return with_text.mapInArrow(run, "node bigint, hashes binary").dropDuplicates(["node"])
+    named = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    ids = ids.select(named.alias("key"), "node", "digest")
+    with_text = docs.select(named.alias("key"), "text").join(F.broadcast(ids) if fits_broadcast(ids) else ids, "key")
+    return with_text.select("node", "digest", "text").mapInArrow(run, "node bigint, hashes binary").dropDuplicates(["node"])

@@ -65,11 +65,11 @@ def corpus(seed):
                    (5, rows[5][1]), (5, "other text of that number"), (None, rows[6][1]), (None, "alone with no number")]
 
 
-@pytest.mark.parametrize("seed, tile_rows", [(1, 4096), (2, 7)])
-def test_copies_cut_tiles_and_odd_rows(spark, seed, tile_rows):
+@pytest.mark.parametrize("seed, tile_rows, small_rows", [(1, 4096, 64), (2, 7, 2), (3, 4096, 1)])
+def test_copies_cut_tiles_and_odd_rows(spark, seed, tile_rows, small_rows):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as n", "'x' as digest", "2 as node")
-    assert found(nearjoin.near_components(df, tile_rows=tile_rows)) == brute(rows)
+    assert found(nearjoin.near_components(df, tile_rows=tile_rows, small_rows=small_rows)) == brute(rows)
 
 
 def test_lower_threshold(spark):
