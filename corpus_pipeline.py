@@ -1,29 +1,72 @@
-"""A corpus from documents: judged, freed of repeated lines and near copies, mixed to weights, and encoded."""
+"""A corpus from documents: judged, freed of repeated lines and near copies, mixed to weights, and encoded.
+
+Every stage takes all rows that the one before kept and returns rows with the columns of `documents`, except the
+last, which returns the token ids. Tables are written between stages.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabloop.llm import bpe, queries
+from tabloop.llm import bpe, linededup, mixing, nearjoin, quality, queries
 from tabloop.storage import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+MIX_SHARE = 0.8  # of the tokens that reach the mixing stage
+MIX_EPOCHS = 1
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps; it is fitted on labelled rows of its input."""
+    classifier = quality.fit(docs, queries.table(spark, sf_dir, "labels"))
+    return quality.judge(docs, classifier).where("keep").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one are cut out; a document that loses all its lines stays with an empty text."""
+    cut = linededup.without_repeats(docs)
+    if "n_chars" in docs.columns:
+        size = F.when(F.size("removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", size)
+    return cut.select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return nearjoin.without_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents taken by the domain, language and source budgets; each at most once."""
+    taken = mixing.mix(docs, queries.LEVELS, queries.WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS)
+    return taken.select(*docs.columns)
+
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
-    return bpe.encode(docs.select("doc_id", "text"), queries.vocabulary()).drop("text")
+    """Token ids of every text, and whether they decode to it."""
+    words = queries.vocabulary()
+    rows = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), words), words)
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return rows.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 
-STAGES: list[tuple[str, Stage]] = [("byte_bpe", encoded)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", good),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", near_copies),
+    ("mixing", mixed),
+    ("byte_bpe", encoded),
+]
 
-ORACLE_SQL: str | None = None
+ORACLE_SQL: str | None = None  # no stage but the mixing has an SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written before the next reads them."""
+    """All stages over the documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)

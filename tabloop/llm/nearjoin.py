@@ -44,7 +44,7 @@ SMALL_ROWS = 64  # tiles up to this size list their pairs without bitmaps
 BITS = (128, 32768)  # narrowest and widest bitmap
 LEVEL_BITS = 4
 
-SETS = "doc_id bigint, n bigint, digest binary, prefix array<bigint>, bitmap binary"
+SETS = "doc_id bigint, h bigint, n bigint, digest binary, prefix array<bigint>, bitmap binary"
 
 
 def prefix_size(n: int, threshold: tuple[int, int]) -> int:
@@ -100,7 +100,7 @@ def shingle_rows(docs: DataFrame, levels: np.ndarray, words: int, threshold: tup
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _pieces(batches, 1, words):
+        for batch, sets in _pieces(batches, 2, words):
             size, digest, prefix, maps = [], [], [], []
             for hashes in sets:
                 n = len(hashes)
@@ -112,12 +112,12 @@ def shingle_rows(docs: DataFrame, levels: np.ndarray, words: int, threshold: tup
             np.cumsum([len(p) for p in prefix], out=offsets[1:])
             flat = np.concatenate([np.empty(0, np.int64), *prefix])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(maps, pa.binary())],
-                names=["doc_id", "n", "digest", "prefix", "bitmap"],
+                names=["doc_id", "h", "n", "digest", "prefix", "bitmap"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(run, SETS)
 
 
 def possible(sizes, other_sizes, differing, threshold) -> np.ndarray:
@@ -384,6 +384,32 @@ def near_components(
     threshold: tuple[int, int] = THRESHOLD, tile_rows: int = TILE_ROWS, small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest identifier reachable by links) of every row."""
+    judged = _judged(docs, doc_id, text, words, threshold, tile_rows, small_rows)
+    return judged.select("doc_id", "n_shingles", "component_id")
+
+
+def without_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, threshold: tuple[int, int] = THRESHOLD
+) -> DataFrame:
+    """One row of each component, that with the smallest identifier, and every row that is linked with nothing.
+
+    Rows of that identifier that are alike count as one. Columns stay as they are.
+    """
+    judged = _judged(docs, doc_id, text, words, threshold, TILE_ROWS, SMALL_ROWS)
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("_key")
+    decided = judged.groupBy(key, F.col("h").alias("_h")).agg(F.max("stays").alias("_stays"), F.count(F.lit(1)).alias("_c"))
+    decided = settle(decided.where("not _stays or _c > 1"), "copies")
+    rows = docs.withColumns({"_key": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))), "_h": F.xxhash64(F.col(text).cast("string"))})
+    marked = lookup_join(rows, decided, ["_key", "_h"])
+    several = marked.where("_stays and _c > 1")
+    kept = marked.where("_c is null")
+    if decided.where("_stays").limit(1).count():
+        kept = kept.unionByName(several.dropDuplicates(["_key", "_h"]))
+    return kept.select(*docs.columns)
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, words: int, threshold, tile_rows: int, small_rows: int) -> DataFrame:
+    """doc_id, h, n_shingles, component_id, and whether the row is its component's first."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     levels = bucket_levels(docs, words, threshold)
     rows = shingle_rows(docs, levels, words, threshold).withColumn("row", F.monotonically_increasing_id())
@@ -418,12 +444,18 @@ def near_components(
             roots = settle(components(links.unionByName(last)), "roots")
 
     member = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_digest = settle(member.join(named, "root").select("digest", "component_id"), "members")
-    slim = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
-    out = lookup_join(slim, by_digest, ["digest"])
-    alone = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", alone.alias("component_id"))
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("first")
+    named = member.groupBy("root").agg(first)
+    by_digest = member.join(named, "root").select(
+        "digest", F.col("first.least").alias("component_id"), F.col("first.node").alias("first_node"), "node"
+    )
+    by_digest = settle(by_digest, "members")
+    known = F.when(F.col("n") > 0, F.col("digest")).alias("digest")
+    out = lookup_join(rows.select("doc_id", "h", F.col("n").alias("n_shingles"), known), by_digest, ["digest"])
+    alone = F.col("digest").isNull()
+    stays = alone | ((F.col("node") == F.col("first_node")) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), stays.alias("stays"))
 
 
 def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:

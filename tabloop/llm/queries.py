@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloop.llm import bpe, fingerprints, nearjoin, quality, toxicity, vectors, warc
+from tabloop.llm import bpe, fingerprints, linededup, mixing, nearjoin, quality, toxicity, urls, vectors, warc
 from tabloop.llm.labelled import held_out
 from tabloop.storage import scratch_path
 
@@ -40,6 +40,19 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, sf, "documents"))
 
 
+NUMBER = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(0))
+LEVELS = {"domain": F.concat(F.lit("d"), NUMBER % 4), "lang": F.col("lang"), "source": F.col("source")}
+WEIGHTS = {"domain": 4 - NUMBER % 4, "lang": F.when(F.col("lang") == "en", 5).otherwise(2), "source": 1 + NUMBER % 3}
+MIX_SHARE = 0.6
+
+
+@query("op2_hierarchical_mixing")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("domain", LEVELS["domain"])
+    taken = mixing.mix(docs, LEVELS, WEIGHTS, share=MIX_SHARE)
+    return taken.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
 @query("op3_toxicity_factorisation_machine")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
@@ -71,6 +84,23 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op6_url_association_rules")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)  # labels carry the same numbers as pages
+    marks = table(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return urls.judge(pages, pages.join(marks, "page_id").select("url", "bad"), RULES).drop("url")
+
+
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 
@@ -79,6 +109,16 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return nearjoin.near_components(table(spark, sf, "documents"))
 
 
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    gone = linededup.removals(docs.select("doc_id", "text")).withColumnRenamed("key", "doc_id")
+    size = F.size(F.split("text", "\n", -1)).alias("n_lines")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.when(F.col("text").isNull(), 0).otherwise(size).alias("n_lines"))
+    out = rows.join(gone, ["doc_id", "h"], "left")
+    return out.select("doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+
+
 @query("op9_vector_approximation_search")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0).withColumn(
