@@ -42,7 +42,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents taken by the domain, language and source budgets; each at most once."""
-    taken = mixing.mix(docs, queries.LEVELS, queries.WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS)
+    levels, weights = queries.mixing_tree()
+    taken = mixing.mix(docs, levels, weights, share=MIX_SHARE, epochs=MIX_EPOCHS)
     return taken.select(*docs.columns)
 
 

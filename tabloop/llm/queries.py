@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloop.llm import bpe, fingerprints, linededup, mixing, nearjoin, quality, toxicity, urls, vectors, warc
 from tabloop.llm.labelled import held_out
+from tabloop.llm import sql as texts
 from tabloop.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,16 +41,22 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, sf, "documents"))
 
 
-NUMBER = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(0))
-LEVELS = {"domain": F.concat(F.lit("d"), NUMBER % 4), "lang": F.col("lang"), "source": F.col("source")}
-WEIGHTS = {"domain": 4 - NUMBER % 4, "lang": F.when(F.col("lang") == "en", 5).otherwise(2), "source": 1 + NUMBER % 3}
+def mixing_tree() -> tuple[dict[str, Column], dict[str, Column]]:
+    """Levels from domain to source, and the weight of each among its siblings. Sources of a number go to domains."""
+    number = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(0))
+    levels = {"domain": F.concat(F.lit("d"), number % 4), "lang": F.col("lang"), "source": F.col("source")}
+    weights = {"domain": 4 - number % 4, "lang": F.when(F.col("lang") == "en", 5).otherwise(2), "source": 1 + number % 3}
+    return levels, weights
+
+
 MIX_SHARE = 0.6
 
 
-@query("op2_hierarchical_mixing")
+@query("op2_hierarchical_mixing", texts.mixing(MIX_SHARE, mixing.EPOCHS, mixing.SEED))
 def op2(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").withColumn("domain", LEVELS["domain"])
-    taken = mixing.mix(docs, LEVELS, WEIGHTS, share=MIX_SHARE)
+    levels, weights = mixing_tree()
+    docs = table(spark, sf, "documents").withColumn("domain", levels["domain"])
+    taken = mixing.mix(docs, levels, weights, share=MIX_SHARE)
     return taken.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
 
 
@@ -101,10 +108,7 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(pages, pages.join(marks, "page_id").select("url", "bad"), RULES).drop("url")
 
 
-WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
-
-
-@query("op7_ngram_jaccard_join")
+@query("op7_ngram_jaccard_join", texts.NEAR)
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return nearjoin.near_components(table(spark, sf, "documents"))
 
@@ -119,7 +123,7 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-@query("op9_vector_approximation_search")
+@query("op9_vector_approximation_search", texts.SEARCH)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0).withColumn(
         "rank", F.col("rank").cast("int")
