@@ -81,7 +81,7 @@ def leaf_quotas(leaves: DataFrame, levels: Sequence[str], budget: float, epochs:
         above = deal(nodes, parent, level).select(*path, F.col("share").alias("budget"))
     quota = F.least(F.floor(F.col("budget") + 1e-6), F.col("supply") * epochs)
     return leaves.join(above.select(*levels, "budget"), list(levels), "left").withColumn(
-        "quota", F.coalesce(quota, F.lit(0)).cast("bigint")
+        "quota", F.when(F.col("budget").isNull(), 0).otherwise(quota).cast("bigint")
     )
 
 
