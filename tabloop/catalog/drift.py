@@ -188,3 +188,28 @@ def drift_binned(spark, sf):
 def drift_by_request_day(spark, sf):
     rows = table(spark, sf, "events").select(F.date_format("ts", "yyyyMMdd").alias("id"), F.col("event_type").alias("feature3"))
     return _scored(drift.drift_per_key(drift.fit_distribution(rows, ["feature3"]), rows))
+
+
+LONG = """ev as (select *, case when event_id % 7 <> 0 then strftime(ts, '%Y%m%d') end as id from events),
+cuts as (select list_sort(list_distinct(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) as c from events),
+long as (select id, 'event_type' as col, event_type as category from ev
+  union all select id, 'value', cast(len(list_filter(c, lambda x: value > x)) as varchar) from ev, cuts),
+ref as (select col, category, count(*) / sum(count(*)) over (partition by col) as p from long group by 1, 2),
+cur as (select id, col, category, count(*) / sum(count(*)) over (partition by id, col) as q from long group by 1, 2, 3),
+cross_ as (select k.id, k.col, r.p, coalesce(c.q, 0) as q from (select distinct id, col from long) k join ref r on r.col = k.col
+  left join cur c on c.id is not distinct from k.id and c.col = k.col and c.category = r.category),
+js as (select id, col, sqrt(sum(p * ln(p / ((p + q) / 2)) + case when q > 0 then q * ln(q / ((p + q) / 2)) else 0 end) / 2) as score
+  from cross_ group by id, col)"""
+
+
+@query(
+    "drift_per_key_columns",
+    sql(LONG, final="select id, col, round(score, 6) as score, cast(score > 0.1::double as integer) as is_drift from js"),
+)
+def drift_per_key_columns(spark, sf):
+    """Several columns per day, a number among them by its decile bins; events without a day are one key."""
+    events = table(spark, sf, "events")
+    day = F.when(F.col("event_id") % 7 != 0, F.date_format("ts", "yyyyMMdd")).alias("id")
+    cols = ["event_type", "value"]
+    rows = drift.apply_bins(events.select(day, *cols), drift.fit_bins(events, ["value"]))
+    return _scored(drift.drift_per_key_columns(drift.fit_distribution(rows, cols), rows, cols=cols))

@@ -23,7 +23,7 @@ from tabloop.plans.scoring import Fitted
 from tabloop.sources import requests as R
 from tabloop.sources.tables import capture_inventory
 from tabloop.storage import scratch_path
-from tabloop.streaming.requests import score_stream
+from tabloop.streaming.requests import respond, score_stream
 
 PLACED = "placed as (select *, cast(row_number() over (partition by id order by row_id) - 1 as integer) as row_pos from request_rows)"
 
@@ -112,6 +112,49 @@ def latest_capture(spark, sf):
     return R.latest_requests(sent).select("id", "arrival", F.size("rows").alias("n"))
 
 
+@query(
+    "latest_capture_unnamed",
+    sql(
+        REQUEST_ROWS,
+        "cells as (select id, 'v'||case when feature2 = trunc(feature2) then cast(cast(feature2 as bigint) as varchar) else cast(feature2 as varchar) end||'|v'||feature3||'|v'||feature1||'|' as t from request_rows)",
+        "named as (select id as sent, cast(sum(" + h("t") + ") as varchar) as id, cast(count(*) as integer) as n from cells group by 1)",
+        final="select distinct id, n from named",
+    ),
+)
+def latest_capture_unnamed(spark, sf):
+    """Requests without an id, or a blank one, are named by their rows, so none replaces another."""
+    k = R.hash_key(F.col("id")) % 2
+    sent = requests(spark, sf).select(F.when(k == 0, " ").alias("id"), "rows", "columns", F.lit(1).alias("arrival"))
+    return R.latest_requests(sent).select("id", F.size("rows").alias("n"))
+
+
+BROKEN = "sent as (select id, count(*) as n, " + h("id") + " % 10 as k from request_rows group by 1)"
+
+
+@query(
+    "respond_all",
+    sql(
+        REQUEST_ROWS,
+        BROKEN,
+        final="""select id as request, case when k = 3 then ' ' when k <> 4 then id end as id,
+  case when k < 2 then [] else list_transform(range(n), lambda i: 0.0::double) end as predictions,
+  case when k = 2 or k = 5 then n else 0 end as errors, 0 as drift from sent""",
+    ),
+)
+def respond_all(spark, sf):
+    """One answer per request: without rows, with an empty list, without columns, blank or null id, a bad cell."""
+    k = R.hash_key(F.col("id")) % 10
+    bad = F.transform("rows", lambda r: F.concat(F.array(F.lit("x")), F.slice(r, 2, 2)))
+    rows = F.when(k == 1, F.array().cast("array<array<string>>")).when(k == 5, bad).when(k > 1, F.col("rows"))
+    sent = requests(spark, sf).select(
+        F.col("id").alias("request"), F.when(k == 3, " ").when(k != 4, F.col("id")).alias("id"), rows.alias("rows"),
+        F.when(k != 2, F.col("columns")).alias("columns"),
+    )
+    source, cfg = request_rows(spark, sf), request_config()
+    fitted = Fitted(encode.fit_category_index(source, cfg.categorical))
+    return respond(sent, cfg, fitted)[0].select("request", "id", "predictions", "errors", "drift")
+
+
 @query(
     "content_id",
     sql(
@@ -143,10 +186,11 @@ def batch_submission(spark, sf):
     return R.collect_per_key(scored(spark, sf).join(users, "row_id"), "batch_id", F.col("label_model"))
 
 
-@query("batch_submission_parts", """select event_type as batch_id, event_id // 100 as part, list(cast(event_id % 3 as integer) order by event_id) as "values"
-from events group by 1, 2""")
+@query("batch_submission_parts", """select batch_id, part, list(label order by event_id) as "values" from (
+  select event_type as batch_id, event_id, cast(event_id % 3 as integer) as label,
+    (row_number() over (partition by event_type order by event_id) - 1) // 100 as part from events) group by 1, 2""")
 def batch_submission_parts(spark, sf):
-    """Batches above the list limit come in parts of bounded length."""
+    """Batches above the list limit come in consecutive parts of bounded length."""
     rows = table(spark, sf, "events").select(
         F.col("event_type").alias("batch_id"), F.col("event_id").alias("row_id"), (F.col("event_id") % 3).cast("int").alias("label")
     )
@@ -166,14 +210,13 @@ def inventory(spark, sf):
 
 @query(
     "captured_rows_csv",
-    sql(REQUEST_ROWS, final="select feature3 as id, count(*) as n, round(sum(feature2), 4) as total from request_rows group by 1"),
+    sql(REQUEST_ROWS, final="select id, count(*) as n, round(sum(feature2), 4) as total from request_rows group by 1"),
 )
 def captured_rows_csv(spark, sf):
-    """Request rows as CSV with a folder per id, read back."""
+    """Request rows as CSV, a bounded number of files for all ids, read back."""
     path = scratch_path(spark, "rows")
-    rows = request_rows(spark, sf).select(F.col("feature3").alias("id"), "feature1", "feature2")
-    R.capture_rows(rows, path)
-    back = spark.read.schema("feature1 int, feature2 double, id string").option("header", True).csv(path)
+    R.capture_rows(request_rows(spark, sf).select("id", "feature1", "feature2"), path, files=8)
+    back = spark.read.schema("id string, feature1 int, feature2 double").option("header", True).csv(path)
     return back.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("feature2"), 4).alias("total"))
 
 

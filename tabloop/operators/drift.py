@@ -191,19 +191,35 @@ def drift_per_key(
     """(key, score, is_drift): Jensen-Shannon distance of every request from the fitted reference, in one job.
 
     A reference category that a request lacks adds p * ln 2 / 2, so only present categories are joined. A
-    request without any present value is fully apart from the reference.
+    request without any present value is fully apart from the reference. Rows without a key are one request.
     """
-    present = F.col(col).isNotNull()
-    cells = df.groupBy(key, F.col(col).cast("string").alias("category")).agg(F.count_if(present).alias("n"))
-    totals = cells.groupBy(key).agg(F.sum("n").alias("t"))
-    side = stats.where(F.col("col") == col).select("category", "p")
-    matched = lookup_join(cells.where("n > 0").join(totals, key), side, ["category"])
+    return drift_per_key_columns(stats, df, key, [col], threshold).drop("col")
+
+
+def drift_per_key_columns(
+    stats: DataFrame, df: DataFrame, key: str = "id", cols: Sequence[str] = ("feature3",), threshold: float = THRESHOLD
+) -> DataFrame:
+    """(key, col, score, is_drift) for several columns in one job; numbers are binned first (`fit_bins`)."""
+    name = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("category")) for c in cols]))
+    rows = df.select(name.alias("_key"), pairs.alias("_p")).select("_key", "_p.col", "_p.category")
+    cells = rows.groupBy("_key", "col", "category").agg(F.count("category").alias("n"))
+    side = stats.where(F.col("col").isin(list(cols))).select("col", "category", "p")
+    matched = lookup_join(cells, side, ["col", "category"])
+    # the window and the aggregate share one partitioning
+    total = F.sum("n").over(Window.partitionBy("_key", "col"))
+    shares = matched.withColumn("t", total)
     p, q = F.coalesce("p", F.lit(0.0)), F.col("n") / F.col("t")
-    sums = matched.groupBy(key).agg(F.sum(_half(p, q) + _half(q, p)).alias("s"), F.sum(p).alias("seen"))
-    scored = totals.join(sums, key, "left")
+    present = F.col("n") > 0
+    sums = shares.groupBy("_key", "col").agg(
+        F.max("t").alias("t"),
+        F.sum(F.when(present, _half(p, q) + _half(q, p))).alias("s"),
+        F.sum(F.when(present, p)).alias("seen"),
+    )
     inside = F.coalesce("s", F.lit(0.0)) + (F.lit(1.0) - F.coalesce("seen", F.lit(0.0))) * LN2
     empty = F.when(F.col("t") == 0, F.lit(2 * LN2)).otherwise(inside)
-    return verdict(scored.select(key, F.sqrt(F.greatest(empty / 2, F.lit(0.0))).alias("score")), threshold)
+    score = F.sqrt(F.greatest(empty / 2, F.lit(0.0))).alias("score")
+    return verdict(sums.select(F.col("_key.key").alias(key), "col", score), threshold)
 
 
 def drift_rate(df: DataFrame) -> DataFrame:

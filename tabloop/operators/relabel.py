@@ -29,22 +29,30 @@ def consensus(
     The first table's label stays when all labels are equal, its confidence is within `max_dev` of the mean
     and the smallest confidence reaches `min_prob`; otherwise it is flipped. `prob` becomes the mean. The
     labels of all models are stacked and combined in one shuffle on the unique row id, whatever their number;
-    the other columns of the first table meet the result on the same partitioning.
+    the other columns of the first table meet the result on the same partitioning. A row id that a table repeats or
+    lacks is an error. A missing label or confidence is no agreement.
     """
     extras = [c for c in dfs[0].columns if c not in (on, "label_model", "prob")]
     stacked = append(*[d.select(on, F.lit(i).alias("_m"), "label_model", "prob") for i, d in enumerate(dfs)])
     here = [F.col("_m") == i for i in range(len(dfs))]
     grouped = stacked.groupBy(on).agg(
-        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(h).alias(f"_n{i}") for i, h in enumerate(here)],
+        F.count("label_model").alias("_labels"),
         F.min("label_model").alias("_least"),
         F.max("label_model").alias("_most"),
         F.max(F.when(here[0], F.col("label_model"))).alias("label_model"),
         *[F.max(F.when(h, F.col("prob"))).alias(f"_p{i}") for i, h in enumerate(here)],
-    ).where(F.col("_n") == len(dfs))
+    )
+    once = F.lit(True)
+    for i in range(len(dfs)):
+        once = once & (F.col(f"_n{i}") == 1)
+    problem = F.concat(F.lit(f"{on} is not once in every table: "), F.coalesce(F.col(on).cast("string"), F.lit("null")))
+    grouped = grouped.where(F.when(once, True).otherwise(F.raise_error(problem).cast("boolean")))
     probs = [F.col(f"_p{i}") for i in range(len(dfs))]
     mean = sum(probs[1:], probs[0]) / len(dfs)
-    agreed = (F.col("_least") == F.col("_most")) & (F.abs(probs[0] - mean) < max_dev) & (F.least(*probs) >= min_prob)
-    label = F.when(agreed, F.col("label_model")).otherwise(flip("label_model"))
+    agreed = (F.col("_labels") == len(dfs)) & (F.col("_least") == F.col("_most"))
+    agreed = agreed & (F.abs(probs[0] - mean) < max_dev) & (F.least(*probs) >= min_prob)
+    label = F.when(F.coalesce(agreed, F.lit(False)), F.col("label_model")).otherwise(flip("label_model"))
     decided = grouped.select(on, label.cast("int").alias("label_model"), mean.alias("prob"))
     return dfs[0].select(on, *extras).join(decided, on) if extras else decided
 

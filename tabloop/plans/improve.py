@@ -14,11 +14,11 @@ from tabloop.operators.relabel import consensus
 from tabloop.plans.scoring import Fitted, score_table
 from tabloop.sources.requests import latest_requests, parse_requests
 
-SAMPLE_ROWS = 50_000  # fixed value: captured rows taken per round
+SAMPLE_ROWS = 50_000  # fixed value: captured rows taken per round where a sample is asked for
 
 
-def captured_table(requests: DataFrame, cfg: ProblemConfig, sample: int | None = SAMPLE_ROWS, seed: int = 1) -> DataFrame:
-    """Rows of the latest request of every id, numbered by (id, position) and sampled to an exact size."""
+def captured_table(requests: DataFrame, cfg: ProblemConfig, sample: int | None = None, seed: int = 1) -> DataFrame:
+    """Rows of the latest request of every id, numbered by (id, position); all of them, or an exact sample."""
     rows, _ = parse_requests(latest_requests(requests), cfg)
     table = number_rows(rows.select(F.col("id").alias("batch_id"), "row_pos", *cfg.features), ["batch_id", "row_pos"])
     return table if sample is None else sample_exact(table, sample, seed)

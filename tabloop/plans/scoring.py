@@ -16,6 +16,7 @@ from tabloop.operators.relabel import replace_low_confidence
 from tabloop.operators.stats import apply_imputer, apply_robust
 from tabloop.plans.training import score
 from tabloop.sources.requests import collect_per_key
+from tabloop.storage import settle
 
 ADDED = ("label_model", "prob")
 
@@ -57,7 +58,7 @@ def score_table(
     if fitted.labels is not None:
         scored = decode_labels(scored, fitted.labels)
     out = scored.select("_raw.*", *ADDED)
-    return out if other is None else replace_low_confidence(out, other, threshold)
+    return out if other is None else replace_low_confidence(settle(out, "scored"), other, threshold)
 
 
 def submit(df: DataFrame, model: PipelineModel, cfg: ProblemConfig, fitted: Fitted) -> DataFrame:

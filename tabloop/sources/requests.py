@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,9 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
         .option("pathGlobFilter", "*.json")
         .json(path)
     )
-    return raw.select("*", F.col("_metadata.file_modification_time").alias("arrival"))
+    return raw.select(
+        "*", F.col("_metadata.file_modification_time").alias("arrival"), F.col("_metadata.file_path").alias("path")
+    )
 
 
 def reject_reason(df: DataFrame) -> Column:
@@ -69,10 +71,29 @@ def parse_requests(
     )
 
 
+def request_name(id: str = "id", rows: str = "rows") -> Column:
+    """The request's id, or for a null or blank one a name made from its rows, whatever their order."""
+    cells = lambda row: F.transform(row, lambda c: F.coalesce(F.concat(F.lit("v"), c), F.lit("n")))
+    total = F.aggregate(
+        F.coalesce(F.col(rows), F.array().cast("array<array<string>>")),
+        F.lit(0).cast("decimal(38,0)"),
+        lambda sum_, row: (sum_ + hash_key(F.array_join(cells(row), "|"), F.lit("|"))).cast("decimal(38,0)"),
+    )
+    return F.coalesce(F.nullif(F.trim(F.col(id)), F.lit("")), total.cast("string"))
+
+
 def latest_requests(df: DataFrame, id: str = "id", order: str = "arrival") -> DataFrame:
-    """The last request of every id; combined before the shuffle, so a repeated id stays cheap."""
+    """The last request of every id; requests without an id are named by their rows, so different ones all stay.
+
+    Combined before the shuffle, so a repeated id stays cheap. Of equal arrivals the later file path wins, then the
+    greater content.
+    """
+    if "rows" in df.columns:
+        df = df.withColumn(id, request_name(id))
     rest = [c for c in df.columns if c not in (id, order)]
-    last = df.groupBy(id).agg(F.max_by(F.struct(*rest), order).alias("_r"), F.max(order).alias("_o"))
+    ties = [F.col("path")] if "path" in df.columns else []
+    late = F.struct(F.col(order), *ties, F.to_json(F.struct(*rest)))
+    last = df.groupBy(id).agg(F.max_by(F.struct(*rest), late).alias("_r"), F.max(order).alias("_o"))
     return last.select(*[F.col(id) if c == id else F.col("_o").alias(c) if c == order else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
@@ -81,9 +102,13 @@ def capture(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select("id", "rows", "columns").write.mode(mode).json(path)
 
 
-def capture_rows(df: DataFrame, path: str, id: str = "id") -> None:
-    """Rows of requests as CSV, a folder per id."""
-    df.write.mode("overwrite").option("header", True).partitionBy(id).csv(path)
+def capture_rows(df: DataFrame, path: str, id: str = "id", files: int | None = None) -> None:
+    """Rows of requests as CSV with the id as a column; rows of one id share a file.
+
+    There are `files` files (as many as shuffle partitions by default), however many ids there are.
+    """
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(files, id).write.mode("overwrite").option("header", True).csv(path)
 
 
 def row_hash(cols: Sequence[str]) -> Column:
@@ -105,19 +130,24 @@ def collect_per_key(
 ) -> DataFrame:
     """(key, part, values): the values of each key in order of a unique integer column.
 
-    Keys with up to `limit` rows give one list, part 0. Longer ones, and rows without a key, are cut by ranges
-    of the unique order column, each of which can hold at most `limit` rows, so no list grows with a key.
+    A key's rows are cut into consecutive parts of `limit` rows, 0 first; rows without a key are a key of their
+    own. Positions are found by ranges of the order column, each of at most `limit` rows, and the number of rows in
+    the ranges before, so neither a list nor a window grows with a key.
     """
-    slim = df.select(F.col(key), F.col(order).cast("bigint").alias("_o"), value.alias("_v"))
-    big = slim.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    big = settle(big.select(key, F.lit(True).alias("_long")))
-    by_range = F.col(key).isNull()
-    if big.limit(1).count():
-        slim = lookup_join(slim, big, [key])
-        by_range = by_range | F.coalesce("_long", F.lit(False))
-    part = F.when(by_range, F.floor(F.col("_o") / limit)).otherwise(F.lit(0)).cast("bigint")
-    slim = slim.withColumn("part", part)
-    lists = slim.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_o", "_v"))).alias("_l"))
+    named = [F.col(key).isNull().alias("_none"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_name")]
+    slim = df.select(F.col(key), F.col(order).cast("bigint").alias("_o"), value.alias("_v"), *named)
+    slim = slim.withColumn("_range", F.floor(F.col("_o") / limit))
+    group = ["_none", "_name", "_range"]
+    before = Window.partitionBy("_none", "_name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = slim.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    later = settle(counts.where("_before > 0").drop("_n"), "offsets")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("_o")) - 1
+    placed = slim.withColumn("_place", place)
+    if later.limit(1).count():
+        placed = lookup_join(placed, later, group).withColumn("_place", F.col("_place") + F.coalesce("_before", F.lit(0)))
+    part = F.floor(F.col("_place") / limit).cast("bigint").alias("part")
+    lists = placed.groupBy(key, part).agg(F.array_sort(F.collect_list(F.struct("_o", "_v"))).alias("_l"))
     return lists.select(key, "part", F.col("_l._v").alias(name))
 
 

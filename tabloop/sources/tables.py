@@ -58,7 +58,7 @@ def write_folds(df: DataFrame, path: str) -> None:
 
 def write_fitted(stats: DataFrame, path: str) -> None:
     """Category index, label map, fills, scales or bins as a small table."""
-    stats.coalesce(1).write.mode("overwrite").parquet(path)
+    stats.write.mode("overwrite").parquet(path)
 
 
 def read_fitted(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -14,13 +13,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder named by the session; a private one only for a local master with the setting unset."""
+    """Folder the session names: its checkpoint folder, else one in its warehouse."""
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tabloop-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tabloop"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
@@ -28,8 +25,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table; all of an application's lie in one folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tabloop-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{checkpoint_root(spark).rstrip('/')}/tabloop-{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Deletes this application's intermediate tables, once nothing reads them any more; whether there were any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str = "table") -> DataFrame:

@@ -27,7 +27,9 @@ def read_request_stream(spark: SparkSession, path: str, max_files: int | None =
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path).select("*", F.col("_metadata.file_modification_time").alias("arrival"))
+    return reader.json(path).select(
+        "*", F.col("_metadata.file_modification_time").alias("arrival"), F.col("_metadata.file_path").alias("path")
+    )
 
 
 def respond(
@@ -39,10 +41,11 @@ def respond(
     drift_col: str = "feature3",
     threshold: float = THRESHOLD,
 ) -> tuple[DataFrame, DataFrame]:
-    """(responses, rejects) of a table of requests with a `request` key.
+    """(responses, rejects) of a table of requests with a `request` key; every request is answered.
 
-    A row that cannot be scored is answered with 0 and counted in `errors`. Lists are rebuilt from the rows
-    of one input record, so they are as long as that record.
+    A row that cannot be scored is answered with 0 and counted in `errors`, also when the whole request is
+    rejected; without rows the list is empty. Lists are rebuilt from the rows of one input record, so they are as
+    long as that record.
     """
     rows, rejects = parse_requests(requests, cfg, carry=["request"])
     keys = ("request", "id", "row_pos", "error")
@@ -54,10 +57,17 @@ def respond(
     good = score(model, good) if model is not None else good.withColumn("label_model", F.lit(0))
     answered = good.select("request", "id", "row_pos", F.col("label_model").cast("double").alias("prediction"), F.lit(0).alias("bad"))
     failed = ready.where(~complete).select("request", "id", "row_pos", F.lit(0.0).alias("prediction"), F.lit(1).alias("bad"))
-    lists = answered.unionByName(failed).groupBy("request", "id").agg(
+    lists = answered.unionByName(failed).groupBy("request").agg(
         F.array_sort(F.collect_list(F.struct("row_pos", "prediction"))).alias("_l"), F.sum("bad").alias("errors")
     )
-    out = lists.select("request", "id", F.col("_l.prediction").alias("predictions"), "errors")
+    lists = lists.select("request", F.col("_l.prediction").alias("_made"), F.col("errors").alias("_errors"))
+    size = F.coalesce(F.size("rows"), F.lit(0))
+    size = F.greatest(size, F.lit(0))  # the size of a missing list may be given as -1
+    zeros = F.array_repeat(F.lit(0.0), size)
+    out = requests.select("request", "id", zeros.alias("_zeros"), size.cast("bigint").alias("_rows"))
+    out = out.join(lists, "request", "left").select(
+        "request", "id", F.coalesce("_made", "_zeros").alias("predictions"), F.coalesce("_errors", "_rows").alias("errors")
+    )
     if reference is not None:
         flags = drift_per_key(reference, rows, "request", drift_col, threshold)
         out = out.join(flags.select("request", F.col("is_drift").alias("drift")), "request", "left")
@@ -85,7 +95,7 @@ def score_stream(
         batch = batch.withColumn("request", F.monotonically_increasing_id()).persist()
         try:
             folder = f"batch={number}"
-            batch.select("id", "rows", "columns", "request", "arrival").write.mode("overwrite").parquet(
+            batch.select("id", "rows", "columns", "request", "arrival", "path").write.mode("overwrite").parquet(
                 f"{out_dir}/captured/{folder}"
             )
             responses, rejects = respond(batch, cfg, fitted, model, reference)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def session():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("TEST_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="tests-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
