@@ -10,6 +10,7 @@
    most groups of copies are one component after it. The second pass takes the pairs of different components: all
    of them from tiles of up to `small_rows` nodes, from larger ones a spanning forest of what the bitmaps allow. The
    third takes all pairs that the bitmaps allow in large tiles and whose ends still lie in different components.
+   A large tile leaves a pair to the tile of the first hash that both share.
 
 Tiles of more than `tile_rows` nodes are cut into blocks, and every pair of blocks is a task's work. No pair of
 different components is left out by size. Texts without words, empty or null are linked with nothing. Rows may repeat an identifier: rows with
@@ -130,8 +131,9 @@ def possible(sizes, other_sizes, differing, threshold) -> np.ndarray:
 class _Tile:
     """Nodes of one tile with their bitmaps, sorted by size."""
 
-    def __init__(self, nodes, sizes, roots, sides, maps, threshold):
+    def __init__(self, nodes, sizes, roots, sides, maps, before, threshold):
         order = np.lexsort((nodes, sizes))
+        self.before = [before[i] for i in order]  # the hashes that come before the tile's in each row's order
         self.nodes, self.sizes, self.roots, self.sides = nodes[order], sizes[order], roots[order], sides[order]
         self.threshold = threshold
         maps = [maps[i] for i in order]
@@ -172,6 +174,11 @@ class _Tile:
             below.append(some[possible(self.sizes[i], self.sizes[some], differing, self.threshold)])
         return np.concatenate([*below, self.near(i, others[others > i])])
 
+    def first(self, i: int, others: np.ndarray) -> list[int]:
+        """Those of `others` that share no earlier hash with row i."""
+        mine = self.before[i]
+        return [j for j in others.tolist() if mine.isdisjoint(self.before[j])]
+
     def forest(self) -> Iterator[tuple[int, int]]:
         """Links that span every group of possible links; rows of one root count as linked."""
         waiting = np.ones(len(self.nodes), dtype=bool)
@@ -189,7 +196,7 @@ class _Tile:
                     todo.append(i)
             while todo:
                 i = todo.pop()
-                for j in self.around(i, np.flatnonzero(waiting)).tolist():
+                for j in self.first(i, self.around(i, np.flatnonzero(waiting))):
                     if waiting[j]:
                         yield i, j
                         waiting[j] = False
@@ -207,7 +214,7 @@ class _Tile:
             others = others[self.roots[others] != self.roots[i]]
             if split:
                 others = others[self.sides[others] != self.sides[i]]
-            for j in self.near(i, others).tolist():
+            for j in self.first(i, self.near(i, others)):
                 yield i, j
 
 
@@ -230,12 +237,14 @@ def _tiles(rows: DataFrame, tile_rows: int) -> DataFrame:
 
 def candidates(rows: DataFrame, maps: DataFrame, forest: bool, threshold, tile_rows: int) -> DataFrame:
     """Distinct (a, b) pairs of nodes that the bitmaps do not rule out, of tiles that hold bitmaps."""
-    tiled = _tiles(rows, tile_rows).join(maps.select("node", "bitmap"), "node")
+    tiled = _tiles(rows, tile_rows).join(maps.select("node", "bitmap", "prefix"), "node")
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         whole = {c: group.column(c).to_numpy() for c in ("node", "n", "root", "side")}
-        tile = _Tile(whole["node"], whole["n"], whole["root"], whole["side"], group.column("bitmap").to_pylist(), threshold)
+        key = group.column("key")[0].as_py()
+        before = [set(p.values.to_numpy()[: np.searchsorted(p.values.to_numpy(), key)].tolist()) for p in group.column("prefix")]
+        tile = _Tile(*(whole[c] for c in ("node", "n", "root", "side")), group.column("bitmap").to_pylist(), before, threshold)
         pairs = np.array(list(tile.forest() if forest else tile.every()), dtype=np.int64).reshape(-1, 2)
         ends = np.sort(tile.nodes[pairs], axis=1)
         return pa.table({"a": pa.array(ends[:, 1]), "b": pa.array(ends[:, 0])})
@@ -266,7 +275,7 @@ def candidates(rows: DataFrame, maps: DataFrame, forest: bool, threshold, tile_r
             return []
         return run(pa.Table.from_batches(held)).to_batches()
 
-    dealt = tiled.select("key", "block", "node", "n", "root", "side", "bitmap").repartition("key", "block")
+    dealt = tiled.select("key", "block", "node", "n", "root", "side", "bitmap", "prefix").repartition("key", "block")
     dealt = dealt.sortWithinPartitions("key", "block")
     return settle(dealt.mapInArrow(per_task, "a bigint, b bigint").distinct(), "candidates")
 
@@ -420,7 +429,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, words: int, threshold, tile
     kept = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     kept = kept.select(F.col("row").alias("node"), "n", "prefix", "bitmap")
     live = settle(_shared(kept.select("node", "n", F.explode("prefix").alias("key"))), "tiles")
-    maps = kept.select("node", "n", "bitmap").join(live.select("node").distinct(), "node", "left_semi")
+    maps = kept.select("node", "n", "bitmap", "prefix").join(live.select("node").distinct(), "node", "left_semi")
     maps = settle(maps, "bitmaps")
 
     found = pruned(star_pairs(live, threshold), maps, threshold)
