@@ -23,9 +23,9 @@ from tabloop.storage import settle
 
 SAMPLES = 64
 BLANK = r"[\x20\x09-\x0D]+"
-FINE_BITS = 6  # steps of ln c between two powers of two of its probability
+FINE_BITS = 5  # steps of ln c between two powers of two of its probability
 POWERS = 16  # powers of two in the table; beyond, ln c falls by ln 2 / 2 each
-GAMMA_BITS = 9  # steps of r
+GAMMA_BITS = 8  # steps of r
 SPREAD = 4  # times the shuffle partitions of documents that their words are worked on in
 BLOCK_ROWS = 50_000  # documents of one block of the ordered chain
 BLOCKS = 1000
@@ -48,25 +48,32 @@ def _tables() -> tuple[Column, Column]:
     return F.lit(ln_c), F.lit(r)
 
 
-def rank(term: Column, ln_weight: Column, sample: int, tables: tuple[Column, Column]) -> Column:
-    """Rank of a term's sample at one place; the least wins."""
+def rank(h: Column, ln_weight: Column, tables: tuple[Column, Column]) -> Column:
+    """Rank ln c - r (t - b + 1) of a term's sample, drawn from its hash there; the least wins.
+
+    With x = ln S / r + b and t the whole part of x, that is ln c - ln S - r (1 - x's fraction).
+    """
     ln_c, gamma = tables
-    h = F.xxhash64(term, F.lit(sample))
     low = h.bitwiseOR(F.lit(1 << 24))
     zeros = F.bit_count(low.bitwiseAND(-low) - 1)
     near = F.least(zeros, F.lit(POWERS - 1))
     fine = F.shiftrightunsigned(h, 24).bitwiseAND(2**FINE_BITS - 1).cast("int")
     c = F.get(ln_c, near * 2**FINE_BITS + fine) - (zeros - near) * F.lit(math.log(2) / 2)
-    r = F.get(gamma, F.shiftrightunsigned(h, 30).bitwiseAND(2**GAMMA_BITS - 1).cast("int"))
+    r = F.get(gamma, F.shiftrightunsigned(h, 64 - 24 - GAMMA_BITS).bitwiseAND(2**GAMMA_BITS - 1).cast("int"))
     b = F.shiftrightunsigned(h, 40).cast("double") * F.lit(2.0**-24)
-    return c - r * (F.floor(ln_weight / r + b).cast("double") - b + 1)
+    return c - ln_weight - r * (1 - F.pmod(ln_weight / r + b, F.lit(1.0)))
 
 
 def signatures(weights: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """`signature` (array of integers) of each key from rows of key, `term` (integer) and `weight` (above 0)."""
     tables = _tables()
-    ranked = weights.withColumn("_ln", F.log("weight"))
-    least = ranked.groupBy(*keys).agg(*(F.min(rank(F.col("term"), F.col("_ln"), i, tables)).alias(f"_{i}") for i in range(samples)))
+    # a hash is a column of its own: inside the rank it would be made again at each use
+    hashed = weights.select(
+        *keys, F.log("weight").alias("_ln"), *(F.xxhash64("term", F.lit(i)).alias(f"_h{i}") for i in range(samples))
+    )
+    least = hashed.groupBy(*keys).agg(
+        *(F.min(rank(F.col(f"_h{i}"), F.col("_ln"), tables)).alias(f"_{i}") for i in range(samples))
+    )
     return least.select(*keys, F.array(*(F.hash(f"_{i}") for i in range(samples))).alias("signature"))
 
 
