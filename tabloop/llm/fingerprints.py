@@ -51,7 +51,7 @@ def _tables() -> tuple[Column, Column]:
 def rank(h: Column, ln_weight: Column, tables: tuple[Column, Column]) -> Column:
     """Rank ln c - r (t - b + 1) of a term's sample, drawn from its hash there; the least wins.
 
-    With x = ln S / r + b and t the whole part of x, that is ln c - ln S - r (1 - x's fraction).
+    Weights enter by the whole number t alone, so equal t give equal ranks to the last bit.
     """
     ln_c, gamma = tables
     low = h.bitwiseOR(F.lit(1 << 24))
@@ -61,7 +61,7 @@ def rank(h: Column, ln_weight: Column, tables: tuple[Column, Column]) -> Column:
     c = F.get(ln_c, near * 2**FINE_BITS + fine) - (zeros - near) * F.lit(math.log(2) / 2)
     r = F.get(gamma, F.shiftrightunsigned(h, 64 - 24 - GAMMA_BITS).bitwiseAND(2**GAMMA_BITS - 1).cast("int"))
     b = F.shiftrightunsigned(h, 40).cast("double") * F.lit(2.0**-24)
-    return c - ln_weight - r * (1 - F.pmod(ln_weight / r + b, F.lit(1.0)))
+    return c - r * (F.floor(ln_weight / r + b).cast("double") - b + 1)
 
 
 def signatures(weights: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
