@@ -326,6 +326,22 @@ def knn_vectors(spark, sf):
     return near.withColumn("distance", F.round("distance", 6))
 
 
+@query(
+    "knn_wide",
+    sql(
+        VECTORS,
+        f"near as (select a.row_id, min({{'d': {s.distance(VECTOR_FEATURES)}, 'i': b.row_id}}, 5) as l "
+        "from vectors a join vectors b on a.row_id <> b.row_id group by 1)",
+        final="""select row_id, cast(i as integer) as rank, l[i].i as nn_id, round(sqrt(l[i].d), 6) as distance
+from near, unnest(range(1, len(l) + 1)) as r(i)""",
+    ),
+)
+def knn_wide(spark, sf):
+    """Neighbours among all vectors of 64 columns, over leaves that split."""
+    near = neighbours.knn(vectors(spark, sf), 5, ["vec"], leaf_rows=64)
+    return near.withColumn("distance", F.round("distance", 6))
+
+
 @query(
     "knn_leaves",
     sql(

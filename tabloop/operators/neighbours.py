@@ -2,9 +2,15 @@
 
 Rows are first reduced to distinct vectors, each with its few smallest ids, so copies cost one search. Big
 blocks are cut into leaves of bounded size by axis splits. Every vector is searched in its own leaf, which
-bounds the distance of its k-th neighbour, and then only in the leaves whose bounding box comes that close.
-Only the best k per vector and leaf leave a task; no pairs are written. Distances add up the columns in the
+bounds the distance of its k-th neighbour. Leaves are then paired with the leaves of their block whose box comes
+within the largest of these distances: one record per pair of leaves, without vectors. A leaf's nearest leaves are
+visited first, and the distances found there shorten the list of the next round; a vector goes only where the box
+lies within its own distance. Only the best k per vector and leaf leave a task. Distances add up the columns in the
 given order, ties go to the smaller id.
+
+With many equally important columns no box is far from another, and the exact search compares nearly everything.
+`mode="cells"`, asked for by the caller, visits no more than the `probes` nearest leaves of each leaf: bounded work,
+nearly the same neighbours.
 """
 
 from __future__ import annotations
@@ -16,11 +22,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloop.operators.skew import lookup_join
+from tabloop.operators.skew import fits_broadcast, lookup_join
 from tabloop.storage import settle, small_table
 
 register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
@@ -30,7 +36,9 @@ VISIT_ROWS = 20_000  # queries of one leaf, held by one task
 SAMPLE_ROWS = 100_000  # vectors the driver looks at to place splits
 TILE_CELLS = 2**20  # distances held at a time
 MAX_TASKS = 20_000  # partitions of a search
-MAX_LEAVES = 200_000  # leaf boxes are copied to every task
+MAX_LEAVES = 4_000_000  # nodes of the trees that place vectors are copied to every task
+ROUNDS = (4, 32)  # nearest leaves visited in the first rounds; the last round takes the rest
+PROBES = 8  # leaves visited by mode="cells" besides a vector's own
 
 
 class _Tree:
@@ -98,21 +106,23 @@ def _with_leaf(packs: DataFrame, trees: dict[str, _Tree]) -> DataFrame:
     return packs.withColumn("leaf", leaf_of("block", "vec"))
 
 
-def _leaf_sizes(assigned: DataFrame) -> dict[tuple[str, int], int]:
-    rows = assigned.groupBy("block", "leaf").count().limit(MAX_LEAVES + 1).collect()
-    if len(rows) > MAX_LEAVES:
-        raise ValueError("too many leaves; raise leaf_rows")
-    return {(r.block, r.leaf): r["count"] for r in rows}
-
+def _plant(packs: DataFrame, leaf_rows: int, max_leaves: int) -> tuple[DataFrame, dict[str, _Tree], int]:
+    """Assign every vector to a leaf of at most `leaf_rows` vectors, whatever the table's size.
 
-def _plant(packs: DataFrame, leaf_rows: int) -> tuple[DataFrame, dict[str, _Tree], dict[tuple[str, int], int]]:
-    """Assign every vector to a leaf of at most `leaf_rows` vectors."""
+    The driver sees a sample and the leaves that are still too large. The trees have as many leaves as the data
+    needs; more than `max_leaves` is an error.
+    """
     trees: dict[str, _Tree] = {}
     assigned = _with_leaf(packs, trees)
-    sizes = _leaf_sizes(assigned)
-    leaf_rows = max(leaf_rows, 4 * sum(sizes.values()) // MAX_LEAVES)
     draw = 0
-    while big := {leaf: n for leaf, n in sizes.items() if n > leaf_rows}:
+    while True:
+        sizes = assigned.groupBy("block", "leaf").agg(F.count(F.lit(1)).alias("n"))
+        rows = sizes.where(F.col("n") > leaf_rows).limit(max_leaves + 1).collect()
+        big = {(r.block, r.leaf): r.n for r in rows}
+        if not big:
+            return assigned, trees, sum((len(t.dim) + 1) // 2 for t in trees.values())
+        if len(big) + sum(len(t.dim) for t in trees.values()) > 2 * max_leaves:
+            raise ValueError("too many leaves; raise leaf_rows or max_leaves")
         rate = min(1.0, SAMPLE_ROWS / sum(big.values()))
         draw += 1  # every round looks at other vectors
         pick = F.pmod(F.xxhash64("vec", F.lit(draw)), F.lit(10**9)) < math.ceil(rate * 10**9)
@@ -122,8 +132,6 @@ def _plant(packs: DataFrame, leaf_rows: int) -> tuple[DataFrame, dict[str, _Tree
             tree = trees.setdefault(block, _Tree())
             tree.grow(int(leaf), np.stack(part["vec"].to_numpy()), float(big[(block, leaf)]), leaf_rows)
         assigned = _with_leaf(packs, trees)
-        sizes = _leaf_sizes(assigned)
-    return assigned, trees, sizes
 
 
 def _distances(q: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -158,11 +166,11 @@ def _best(q: np.ndarray, d: np.ndarray, ids: np.ndarray, owner: np.ndarray, k: i
         yield entry_row[keep] + start, entry_dist[keep], entry_id[keep]
 
 
-def _search(visits: DataFrame, leaves: DataFrame, k: int, leaf_count: int, sizes: dict | None = None) -> DataFrame:
-    """Best k entries (qid, d2, nn) of every visit of a query to a leaf, in groups of bounded size.
+def _search(visits: DataFrame, leaves: DataFrame, k: int, leaf_count: int) -> DataFrame:
+    """Best k entries (qid, d2, nn) of every visit (block, leaf, qid, vec), in groups of bounded size.
 
-    `sizes` are the visits per leaf where they are known. The number of partitions follows the number of
-    leaves: a leaf is few bytes but much work, so small partitions must not be merged.
+    The number of partitions follows the number of leaves: a leaf is few bytes but much work, so small
+    partitions must not be merged.
     """
 
     def compare(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
@@ -178,17 +186,12 @@ def _search(visits: DataFrame, leaves: DataFrame, k: int, leaf_count: int, sizes
         ]
         return pd.concat(parts)
 
-    if sizes is None:
-        counts = visits.groupBy("block", "leaf").count()
-    else:
-        rows = [(block, leaf, n) for (block, leaf), n in sizes.items()]
-        counts = small_table(visits.sparkSession, rows, "block string, leaf bigint, count bigint")
-    chunks = F.ceil(F.col("count") / VISIT_ROWS).cast("int").alias("chunks")
-    counts = F.broadcast(counts.select("block", "leaf", chunks))  # one row per leaf, at most MAX_LEAVES
-    queries = visits.join(counts, ["block", "leaf"]).select(
+    counts = visits.groupBy("block", "leaf").agg(F.count(F.lit(1)).alias("_n"))
+    chunks = settle(counts.select("block", "leaf", F.ceil(F.col("_n") / VISIT_ROWS).cast("int").alias("chunks")), "chunks")
+    queries = lookup_join(visits, chunks, ["block", "leaf"], "inner").select(
         "block", "leaf", F.pmod(F.xxhash64("qid"), F.col("chunks")).cast("int").alias("chunk"), "qid", "vec"
     )
-    data = leaves.join(counts, ["block", "leaf"]).select(
+    data = lookup_join(leaves, chunks, ["block", "leaf"], "inner").select(
         "block", "leaf", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "vec", "ids"
     )
     keys = ["block", "leaf", "chunk"]
@@ -199,66 +202,75 @@ def _search(visits: DataFrame, leaves: DataFrame, k: int, leaf_count: int, sizes
 
 
 def _merge(entries: DataFrame, k: int) -> DataFrame:
-    best = F.slice(F.array_sort(F.collect_list(F.struct("d2", "nn"))), 1, k)  # at most k per visited leaf
-    return entries.groupBy("qid").agg(best.alias("entries"))
-
-
-def _node_boxes(arrays: tuple[np.ndarray, ...], leaves: list, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bounding boxes of all nodes from those of the leaves; children have larger numbers than their parent."""
-    _, _, left, right = arrays
-    low, high = np.full((len(left), dims), np.inf), np.full((len(left), dims), -np.inf)
-    for r in leaves:
-        low[r.leaf], high[r.leaf] = r.low, r.high
-    for node in reversed(range(len(left))):
-        if left[node] >= 0:
-            low[node] = np.minimum(low[left[node]], low[right[node]])
-            high[node] = np.maximum(high[left[node]], high[right[node]])
-    return low, high
-
-
-def _reached(arrays, boxes, points: np.ndarray, own: np.ndarray, radius: np.ndarray):
-    """(query position, leaf) pairs of leaves, other than the own, whose box lies within the radius."""
-    left, right = arrays[2], arrays[3]
-    low, high = boxes
-    limit = radius * (1 + 1e-9)
-    stack = [(0, np.arange(len(points)))]
-    while stack:
-        node, at = stack.pop()
-        gap = np.maximum(np.maximum(low[node] - points[at], points[at] - high[node]), 0.0)
-        total = (gap * gap).sum(axis=1)
-        at = at[(total <= limit[at]) & np.isfinite(total)]
-        if not len(at):
-            continue
-        if left[node] >= 0:
-            stack += [(left[node], at), (right[node], at)]
-        else:
-            yield at[own[at] != node], node
+    """The best k entries of every query; lists are cut before they are collected."""
+    order = Window.partitionBy("qid").orderBy("d2", "nn")
+    few = entries.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
+    return few.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("d2", "nn"))).alias("entries"))
 
 
-def _further_visits(queries: DataFrame, trees: dict[str, _Tree], boxes: list, dims: int) -> DataFrame:
-    """Other leaves of the block that reach into a query's current radius, found by walking down the tree."""
-    by_block: dict[str, list] = {}
-    for r in boxes:
-        by_block.setdefault(r.block, []).append(r)
-    shared = queries.sparkSession.sparkContext.broadcast(
-        {b: (t.arrays(), _node_boxes(t.arrays(), by_block.get(b, []), dims)) for b, t in trees.items()}
-    )
+def _box(rows: DataFrame, dims: int, *more: Column) -> DataFrame:
+    low = F.array(*[F.min(F.col("vec")[i]) for i in range(dims)]).alias("low")
+    high = F.array(*[F.max(F.col("vec")[i]) for i in range(dims)]).alias("high")
+    return rows.groupBy("block", "leaf").agg(low, high, *more)
 
-    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for block, part in batch.groupby("block"):
-                if block not in shared.value:
-                    continue
-                arrays, nodes = shared.value[block]
-                points = np.stack(part["vec"].to_numpy())
-                own, radius, qid = (part[c].to_numpy() for c in ("leaf", "radius", "qid"))
-                for at, leaf in _reached(arrays, nodes, points, own, radius):
-                    if len(at):
-                        yield pd.DataFrame({"block": block, "leaf": leaf, "qid": qid[at], "vec": list(points[at])})
-
-    return queries.select("block", "leaf", "qid", "vec", "radius").mapInPandas(
-        reach, "block string, leaf bigint, qid bigint, vec array<double>"
+
+def _gap(low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> Column:
+    """Squared distance between two boxes; a point is a box of its own."""
+    apart = F.zip_with(
+        F.zip_with(low_a, high_b, lambda a, b: a - b),
+        F.zip_with(low_b, high_a, lambda a, b: a - b),
+        lambda x, y: F.greatest(x, y, F.lit(0.0)),
     )
+    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x)
+
+
+def leaf_visits(asked: DataFrame, boxes: DataFrame, dims: int) -> DataFrame:
+    """(block, leaf, target, gap, rank, low, high): the other leaves that come within the radius of some vector.
+
+    `asked` holds block, leaf, vec and radius. One record per pair of leaves of a block at most, nearest first.
+    """
+    own = _box(asked, dims, F.max("radius").alias("reach"))
+    other = boxes.select("block", F.col("leaf").alias("target"), F.col("low").alias("t_low"), F.col("high").alias("t_high"))
+    pairs = own.join(other, "block").where(F.col("leaf") != F.col("target"))
+    pairs = pairs.withColumn("gap", _gap(F.col("low"), F.col("high"), F.col("t_low"), F.col("t_high")))
+    near = Window.partitionBy("block", "leaf").orderBy("gap", "target")
+    return pairs.where(F.col("gap") <= F.col("reach") * (1 + 1e-9)).select(
+        "block", "leaf", "target", "gap", F.row_number().over(near).alias("rank"),
+        F.col("t_low").alias("low"), F.col("t_high").alias("high"),
+    )
+
+
+def _with_radius(searched: DataFrame, lists: DataFrame, reach: int) -> DataFrame:
+    """Queries with the distance of their k-th entry, infinite where they have fewer."""
+    radius = F.when(F.size("entries") == reach, F.element_at("entries", -1)["d2"]).otherwise(F.lit(float("inf")))
+    more = searched.join(lists.select("qid", radius.alias("radius")), "qid", "left")
+    return more.fillna(float("inf"), subset=["radius"])
+
+
+def _rounds(
+    searched: DataFrame, assigned: DataFrame, lists: DataFrame, reach: int, dims: int, leaf_count: int, probes: int | None
+) -> DataFrame:
+    """Lists after visits to the other leaves, nearest first."""
+    boxes = settle(_box(assigned, dims), "boxes")
+    visits = leaf_visits(_with_radius(searched, lists, reach), boxes, dims)
+    if probes is not None:
+        visits = visits.where(F.col("rank") <= probes)
+    visits = settle(visits, "visits")
+    last = 0
+    for upto in (*(ROUNDS if probes is None else ()), None):
+        some = visits.where((F.col("rank") > last) & (F.col("rank") <= upto if upto else F.lit(True)))
+        last = upto
+        if not some.limit(1).count():
+            break
+        asked = _with_radius(searched, lists, reach).select("block", "leaf", "qid", "vec", "radius")
+        some = some.select("block", "leaf", "target", "low", "high")
+        some = F.broadcast(some) if fits_broadcast(some) else some
+        gap = _gap(F.col("vec"), F.col("vec"), F.col("low"), F.col("high"))
+        rows = asked.join(some, ["block", "leaf"]).where(gap <= F.col("radius") * (1 + 1e-9))
+        found = _search(rows.select("block", F.col("target").alias("leaf"), "qid", "vec"), assigned, reach, leaf_count)
+        entries = lists.select("qid", F.explode("entries").alias("e")).select("qid", "e.d2", "e.nn")
+        lists = settle(_merge(entries.unionByName(found), reach), "lists")
+    return lists
 
 
 def _points(df: DataFrame, cols: Sequence[str], block: str | None, row_id: str) -> DataFrame:
@@ -290,8 +302,16 @@ def knn_lists(
     row_id: str = "row_id",
     leaf_rows: int = LEAF_ROWS,
     skip_same_id: bool | None = None,
+    mode: str = "exact",
+    probes: int = PROBES,
+    max_leaves: int = MAX_LEAVES,
 ) -> DataFrame:
-    """(id, entries): per query row its k nearest rows of the same block as (squared distance, id), in order."""
+    """(id, entries): per query row its k nearest rows of the same block as (squared distance, id), in order.
+
+    `mode="cells"` looks only into a vector's own leaf and the `probes` leaves nearest to that.
+    """
+    if mode not in ("exact", "cells"):
+        raise ValueError(f"unknown mode: {mode}")
     points = _points(data, cols, block, row_id)
     check = points.agg(
         F.count(F.lit(1)).alias("n"),
@@ -305,27 +325,18 @@ def knn_lists(
     asked = points if own else _points(queries, cols, block, row_id)
     reach = k + 1 if skip else k
     packs = settle(_pack(points, reach))
-    assigned, trees, sizes = _plant(packs, leaf_rows)
+    assigned, trees, leaf_count = _plant(packs, leaf_rows, max_leaves)
     asked_packs = packs if own else settle(_pack(asked, 1))
     searched = assigned if own else _with_leaf(asked_packs, trees)
     if trees:  # leaf numbers come from Python: compute them once
         assigned = settle(assigned)
         searched = assigned if own else settle(searched)
-    lists = _merge(_search(searched, assigned, reach, len(sizes), sizes if own else None), reach)
+    lists = _merge(_search(searched.select("block", "leaf", "qid", "vec"), assigned, reach, leaf_count), reach)
     if trees:
         lists = settle(lists)
-        radius = F.when(F.size("entries") == reach, F.element_at("entries", -1)["d2"]).otherwise(F.lit(float("inf")))
-        low = F.array(*[F.min(F.col("vec")[i]) for i in range(check.dims)]).alias("low")
-        high = F.array(*[F.max(F.col("vec")[i]) for i in range(check.dims)]).alias("high")
-        boxes = assigned.groupBy("block", "leaf").agg(low, high).collect()  # at most MAX_LEAVES rows
-        more = searched.join(lists.select("qid", radius.alias("radius")), "qid", "left").fillna(
-            float("inf"), subset=["radius"]
-        )
-        visits = settle(_further_visits(more, trees, boxes, check.dims))
-        entries = lists.select("qid", F.explode("entries").alias("e")).select("qid", "e.d2", "e.nn")
-        lists = _merge(entries.unionByName(_search(visits, assigned, reach, len(sizes))), reach)
+        lists = _rounds(searched, assigned, lists, reach, check.dims, leaf_count, probes if mode == "cells" else None)
     rows = check.n if own else asked.count()
-    if (sum(sizes.values()) if own else asked_packs.count()) == rows:
+    if asked_packs.count() == rows:
         listed = lists.select(F.col("qid").alias("id"), "entries")  # no two rows alike
     else:
         keyed = settle(lists.join(searched.select("qid", "block", "vec"), "qid").select("block", "vec", "entries"))
@@ -342,13 +353,16 @@ def knn(
     queries: DataFrame | None = None,
     row_id: str = "row_id",
     leaf_rows: int = LEAF_ROWS,
+    mode: str = "exact",
+    probes: int = PROBES,
 ) -> DataFrame:
     """(row_id, rank, nn_id, distance): the k nearest rows of the same block, by (distance, id).
 
     Without `queries` every row of `data` is searched for and is not its own neighbour. `cols` are number
     columns or one array column; missing values are not allowed. Rows with fewer than k others get fewer.
+    `mode="cells"` bounds the leaves that are looked into, see `knn_lists`.
     """
-    listed = knn_lists(data, k, cols, block, queries, row_id, leaf_rows)
+    listed = knn_lists(data, k, cols, block, queries, row_id, leaf_rows, mode=mode, probes=probes)
     ranked = listed.select("id", F.posexplode("entries").alias("rank", "e"))
     return ranked.select(
         F.col("id").alias(row_id),

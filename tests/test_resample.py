@@ -51,6 +51,36 @@ def test_knn_splits_busy_leaves(spark, monkeypatch):
     assert {i: [m[j + 1] for j in range(3)] for i, m in got.items()} == brute(points, np.zeros(150), 3)
 
 
+def test_visits_grow_with_leaves(spark):
+    """Wide vectors: one record per pair of leaves, whatever the rows."""
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(800, 24))
+    df = spark.createDataFrame([(i, points[i].tolist()) for i in range(800)], "row_id long, vec array<double>")
+    packs = neighbours._pack(neighbours._points(df, ["vec"], None, "row_id"), 1)
+    assigned, _, leaves = neighbours._plant(packs, 100, neighbours.MAX_LEAVES)
+    assigned = assigned.withColumn("radius", F.lit(float("inf"))).cache()
+    sizes = [r["count"] for r in assigned.groupBy("leaf").count().collect()]
+    assert len(sizes) == leaves and max(sizes) <= 100
+    visits = neighbours.leaf_visits(assigned, neighbours._box(assigned, 24), 24)
+    assert visits.count() == leaves * (leaves - 1)
+    assert "vec" not in visits.columns
+
+
+def test_cells_find_most_neighbours(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(20, 16)) * 4
+    points = centres[rng.integers(0, 20, 1500)] + rng.normal(size=(1500, 16)) * 0.5
+    df = spark.createDataFrame([(i, points[i].tolist()) for i in range(1500)], "row_id long, vec array<double>")
+    exact = brute(points, np.zeros(1500), 5)
+    got = {}
+    for r in neighbours.knn(df, 5, ["vec"], leaf_rows=100, mode="cells", probes=8).collect():
+        got.setdefault(r.row_id, set()).add(r.nn_id)
+    recall = np.mean([len(got[i] & set(exact[i])) / 5 for i in exact])
+    assert recall >= 0.9
+    with pytest.raises(ValueError):
+        neighbours.knn(df, 5, ["vec"], mode="other")
+
+
 def test_knn_refuses_missing_values(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None)], "row_id long, x double")
     with pytest.raises(ValueError):
