@@ -31,22 +31,22 @@ WORDS = 5
 THRESHOLD = (80, 100)  # lines match when 100 * intersection >= 80 * union
 BUCKETS = 2**18  # of the table of token use; its size never changes
 OFTEN = 32  # a bucket used this many times more than the mean is frequent: at most BUCKETS / OFTEN are
-AHEAD = 3  # lines just before a line that it is compared with first
+AHEAD = 1  # lines just before a line that it is compared with first
+WANTED_ROWS = 2_000_000  # hashes of lines that may be copied to every task, if they take no more than 64 MB
 
 
 def tokens_of(line: Column, words: int = WORDS) -> Column:
     """Distinct token hashes of a line, sorted."""
-    parts = F.filter(F.split(F.lower(line), BLANK), lambda w: w != "")
-    hashes = F.transform(parts, lambda w: F.xxhash64(w))
+    text = F.btrim(F.lower(line), F.lit(" \t\n\x0b\f\r"))
+    hashes = F.transform(F.split(text, BLANK), lambda w: F.xxhash64(w))
 
     def runs(h: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(h) - words)
-        many = F.transform(starts, lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(words))))
-        return F.when(F.size(h) >= words, many).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
+        many = F.transform(F.sequence(F.lit(1), F.size(h) - (words - 1)), lambda i: F.xxhash64(F.slice(h, i, words)))
+        return F.when(F.size(h) >= words, many).otherwise(F.array(F.xxhash64(h)))
 
     # a one-element array lets the word hashes be used many times and made once
     made = F.element_at(F.transform(F.array(hashes), runs), 1)
-    return F.sort_array(F.array_distinct(made))
+    return F.when(text == "", F.array().cast("array<bigint>")).otherwise(F.sort_array(F.array_distinct(made)))
 
 
 def first_size(n: Column, threshold: tuple[int, int]) -> Column:
@@ -126,7 +126,8 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, words
     rest = left.join(later, "token").where((F.col("before") < F.col("place")) & (F.col("other") != F.col("id")) & _fits(threshold))
     rest = settle(rest.select("id", "other").distinct().join(tried, ["id", "other"], "left_anti"), "pairs")
     if rest.limit(1).count():
-        sets = settle(token_sets(docs, settle(_ends(rest), "ends"), words), "sets")
+        new = _ends(rest).join(sets.select(F.col("id").alias("k1")), "k1", "left_anti")
+        sets = sets.unionByName(settle(token_sets(docs, settle(new, "ends"), words), "sets"))
         found = found.unionByName(_alike(rest, sets, threshold))
     gone = settle(found.select("id").distinct(), "gone")
     firsts = lookup_join(alone.select("doc_id", "h", "line_no", "k1"), gone.withColumnRenamed("id", "k1"), ["k1"], "inner")
@@ -148,7 +149,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def token_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(id, t): token sets of the lines whose hash is in `wanted` (k1), from the texts."""
     lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), "line")
-    some = lines.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "k1")
+    some = lines.join(F.broadcast(wanted) if fits_broadcast(wanted, WANTED_ROWS) else wanted, "k1")
     one = some.groupBy("k1").agg(F.first("line").alias("line"))
     return one.select(F.col("k1").alias("id"), tokens_of(F.col("line"), words).alias("t"))
 
