@@ -1,24 +1,58 @@
-"""Training and scoring with models; no SQL gives their results, so only rows are checked."""
+"""Training and scoring with models.
+
+The labels of these queries are a function of one category, so a model must learn them exactly and SQL can tell every
+answer. Decision trees and forests run with their default settings. Queries without SQL: those whose result is a
+model's own confidence, search or clustering, the comparison of models, and stream timings.
+"""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tabloop.catalog import query
-from tabloop.catalog.fixtures import CATEGORICAL, FEATURES, captured, config, labelled, request_config, request_rows
+from tabloop.catalog.fixtures import (
+    CATEGORICAL,
+    COMPLETE,
+    FEATURES,
+    NUMERICAL,
+    REQUEST_ROWS,
+    captured,
+    captured_sql,
+    config,
+    h,
+    labelled,
+    request_config,
+    request_rows,
+    sql,
+)
 from tabloop.catalog.fixtures import VECTOR_FEATURES as V
 from tabloop.catalog.fixtures import wide_vectors
-from tabloop.catalog.requests import captured_folder
+from tabloop.catalog.recipes import inputs as recipe_inputs
+from tabloop.catalog.requests import JS, PLACED, captured_folder
+from tabloop.functions.keys import hash_key
 from tabloop.operators import drift, encode, relabel, stats
 from tabloop.operators.evaluate import binary_metrics, confidence_report, micro_metrics
 from tabloop.plans import training
 from tabloop.plans.improve import consensus_labels
+from tabloop.plans.jobs import train_model, train_on_woe
 from tabloop.plans.scoring import Fitted, evaluate, prepare, score_table, submit
 from tabloop.sources import tables
 from tabloop.sources.requests import read_requests
-from tabloop.storage import scratch_path, settle
+from tabloop.storage import scratch_path, settle, small_table
 from tabloop.streaming.requests import progress_rows, respond, score_stream
 
+HIGH = ("HOUSEHOLD", "MACHINERY")  # categories of label 1; neighbours in code order, so rows between them agree
+RULE = f"cast(feature4 in {HIGH} as integer)"
+RULED = f"ruled as (select * replace ({RULE} as label) from complete)"
+PERFECT = "select 1.0::double as accuracy, 1.0::double as precision, 1.0::double as recall, 1.0::double as f1"
+
+
+def ruled(rows, name: str = "label"):
+    return rows.withColumn(name, F.col("feature4").isin(*HIGH).cast("int"))
+
+
 SMALL = {"maxIter": 5, "maxDepth": 3}
 
 
@@ -31,18 +65,18 @@ def fitted_on(rows, labels: bool = False) -> Fitted:
 
 def training_rows(spark, sf):
     """(rows, fitted, coded and scaled rows with their label)."""
-    rows = labelled(spark, sf, gaps=False)
+    rows = ruled(labelled(spark, sf, gaps=False))
     fitted = fitted_on(rows)
     ready = prepare(rows, config(), fitted, ("row_id", "label"))
     return rows, fitted, settle(ready)
 
 
-def gbt(spark, sf):
+def tree(spark, sf):
     rows, fitted, ready = training_rows(spark, sf)
-    return rows, fitted, training.fit(ready, FEATURES, "xgb", **SMALL)
+    return rows, fitted, training.fit(ready, FEATURES, "decision_tree")
 
 
-@query("train_gbt")
+@query("train_gbt", sql(COMPLETE, RULED, final=PERFECT + " from ruled limit 1"))
 def train_gbt(spark, sf):
     """Metrics of boosted trees on their training rows."""
     _, _, ready = training_rows(spark, sf)
@@ -58,53 +92,92 @@ def train_multiclass(spark, sf):
     return micro_metrics(training.score(model, rows), "label", "label_model")
 
 
-@query("score_confidence")
+SCORED = f"select row_id, {', '.join(FEATURES)}, {RULE} as label_model, 1.0::double as prob from captured"
+
+
+@query("score_confidence", sql(COMPLETE, captured_sql(), final=SCORED))
 def score_confidence(spark, sf):
     """Captured rows scored by a model trained on the labelled ones."""
-    _, fitted, model = gbt(spark, sf)
-    return score_table(captured(spark, sf), model, config(), fitted)
+    _, fitted, model = tree(spark, sf)
+    return score_table(captured(spark, sf).drop("batch_id", "is_drift"), model, config(), fitted)
+
 
+REPORT = ("below_08", "below_08_label_1", "below_08_label_0", "below_07", "below_07_label_1", "below_07_label_0", "upto_06",
+          "upto_06_label_1", "below_05")
 
-@query("score_report")
+
+@query("score_report", "select " + ", ".join(f"0.0::double as {c}" for c in REPORT))
 def score_report(spark, sf):
-    _, fitted, model = gbt(spark, sf)
+    """A tree with pure leaves is sure of every row."""
+    _, fitted, model = tree(spark, sf)
     return confidence_report(score_table(captured(spark, sf), model, config(), fitted))
 
 
-@query("score_replace_low")
+@query(
+    "score_replace_low",
+    sql(COMPLETE, captured_sql(), final=f"select row_id, {', '.join(FEATURES)}, label_model, 1.0::double as prob from captured"),
+)
 def score_replace_low(spark, sf):
-    """Low-confidence labels taken from the captured label."""
-    _, fitted, model = gbt(spark, sf)
-    rows = captured(spark, sf)
-    return score_table(rows, model, config(), fitted, other=rows.select("row_id", "label_model"))
+    """Labels up to full confidence, here all, taken from the captured label."""
+    _, fitted, model = tree(spark, sf)
+    rows = captured(spark, sf).drop("batch_id", "is_drift")
+    return score_table(rows, model, config(), fitted, other=rows.select("row_id", "label_model"), threshold=1.0)
 
 
-@query("score_named")
+@query("score_named", sql(COMPLETE, RULED, final="select row_id, label as prediction_label, true as sure from ruled"))
 def score_named(spark, sf):
+    """A forest of the default size, its scores told apart from even chances."""
     _, _, ready = training_rows(spark, sf)
-    model = training.fit(ready, FEATURES, "random_forest", numTrees=5, maxDepth=4)
-    return training.score_named(model, ready).select("row_id", "prediction_label", "prediction_score")
-
-
-@query("score_submission")
+    scored = training.score_named(training.fit(ready, FEATURES, "random_forest"), ready)
+    return scored.select("row_id", "prediction_label", (F.col("prediction_score") > 0.5).alias("sure"))
+
+
+@query(
+    "score_submission",
+    sql(
+        COMPLETE,
+        captured_sql(),
+        f"""owned as (select o_custkey as batch_id, c.row_id, {RULE} as label
+  from complete c join orders on o_orderkey = c.row_id)""",
+        final='select batch_id, 0::bigint as part, list(label order by row_id) as "values" from owned group by 1',
+    ),
+)
 def score_submission(spark, sf):
-    _, fitted, model = gbt(spark, sf)
+    _, fitted, model = tree(spark, sf)
     return submit(captured(spark, sf), model, config(), fitted)
 
 
-@query("evaluate_labelled")
+FLIPPED = f"""wrong as (select *, {RULE} as label_model, 1.0::double as prob,
+    case when {h("row_id||':flip'")} % 20 = 0 then 1 - {RULE} else {RULE} end as truth from complete),
+mixed as (select * exclude (truth) replace (truth as label) from wrong)"""
+
+
+def _flipped(rows):
+    """One label in twenty turned round, so that there is something to find."""
+    return rows.withColumn("label", F.when(hash_key(F.col("row_id"), ":flip") % 20 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+
+
+@query(
+    "evaluate_labelled",
+    sql(
+        COMPLETE,
+        FLIPPED,
+        final="""select (count(*) filter (where label = 1 and label_model = 1) / count(*) filter (where label = 1)
+  + count(*) filter (where label = 0 and label_model = 0) / count(*) filter (where label = 0)) / 2 as auc from mixed""",
+    ),
+)
 def evaluate_labelled(spark, sf):
-    rows, fitted, model = gbt(spark, sf)
-    return evaluate(rows, model, config(), fitted)[0]
+    rows, fitted, model = tree(spark, sf)
+    return evaluate(_flipped(rows), model, config(), fitted)[0]
 
 
-@query("evaluate_mispredictions")
+@query("evaluate_mispredictions", sql(COMPLETE, FLIPPED, final="select * from mixed where label <> label_model"))
 def evaluate_mispredictions(spark, sf):
-    rows, fitted, model = gbt(spark, sf)
-    return evaluate(rows, model, config(), fitted)[1]
+    rows, fitted, model = tree(spark, sf)
+    return evaluate(_flipped(rows), model, config(), fitted)[1]
 
 
-@query("model_round_trip")
+@query("model_round_trip", sql(COMPLETE, RULED, final="select label as label_model, count(*) as n from ruled group by 1"))
 def model_round_trip(spark, sf):
     """A saved model with its input schema, loaded again and used."""
     _, _, ready = training_rows(spark, sf)
@@ -129,7 +202,12 @@ def leaderboard(spark, sf):
     return training.compare(ready, FEATURES, ["decision_tree", "random_forest", "naive_bayes"], folds=2, params=small)
 
 
-@query("log_run")
+@query(
+    "log_run",
+    """select 'run-1' as run_id, 'phase-1_prob-1_xgb-1' as experiment, kind, name, value from (values
+  ('param', 'maxIter', '5'), ('param', 'maxDepth', '3'), ('metric', 'accuracy', '1.0'), ('metric', 'precision', '1.0'),
+  ('metric', 'recall', '1.0'), ('metric', 'f1', '1.0')) as v(kind, name, value)""",
+)
 def log_run(spark, sf):
     """Parameters and metrics of a run appended to the run log."""
     _, _, ready = training_rows(spark, sf)
@@ -140,6 +218,64 @@ def log_run(spark, sf):
     return spark.read.schema(tables.RUN_SCHEMA).parquet(path)
 
 
+def _metric_rows(spark, metrics: dict):
+    rows = sorted((name, round(float(value), 6)) for name, value in metrics.items())
+    return small_table(spark, rows, "name string, value double")
+
+
+ALL_RIGHT = "select name, 1.0::double as value from (values " + ", ".join(
+    f"('{part}_{m}')" for part in ("train", "test") for m in ("accuracy", "precision", "recall", "f1", "auc")
+) + ") as v(name)"
+
+
+def _training_job(spark, sf, phase: str, **more):
+    """A recipe's model of default settings, scored on rows it has not seen, logged, saved and loaded again."""
+    given = recipe_inputs(spark, sf, phase, "prob-1", **more)
+    high = [r.code for r in given.index.where(F.col("col") == "feature4").collect() if r.category in HIGH]
+    codes = lambda df: df.withColumn("label", F.col("feature4").isin(*high).cast("int"))
+    given = replace(given, train=codes(given.train), test=codes(given.test), captured=ruled(given.captured, "label_model"))
+    if given.earlier is not None:
+        given = replace(given, earlier=ruled(given.earlier))
+    if given.scored is not None:
+        given = replace(given, scored=ruled(given.scored))
+    root = scratch_path(spark, "job")
+    _, _, test, metrics = train_model(phase, "prob-1", given, "decision_tree", root, "run-1")
+    name = tables.experiment_name(given.cfg, "decision_tree")
+    model, schema = tables.load_model(spark, tables.model_path(f"{root}/models", name, "run-1"))
+    again = training.score(model, tables.check_schema(test.drop("label_model", "prob"), schema))
+    assert spark.read.parquet(f"{root}/runs").where("kind = 'metric'").count() == len(metrics)
+    return _metric_rows(spark, metrics | {"test_accuracy": again.agg(F.avg((F.col("label") == F.col("label_model")).cast("int"))).first()[0]})
+
+
+@query("train_job_phase_1", ALL_RIGHT)
+def train_job_phase_1(spark, sf):
+    return _training_job(spark, sf, "phase-1")
+
+
+@query("train_job_phase_2", ALL_RIGHT)
+def train_job_phase_2(spark, sf):
+    rows = labelled(spark, sf, gaps=False).select("row_id", *FEATURES, "label")
+    scored = rows.withColumn("prob", (hash_key(F.col("row_id"), ":scored") % 5000 + 5000) / 10000)
+    return _training_job(spark, sf, "phase-2", scored=scored, scored_train_rows=1000, extreme_rows=400)
+
+
+@query("train_job_phase_3", ALL_RIGHT)
+def train_job_phase_3(spark, sf):
+    from tabloop.catalog.fixtures import earlier
+
+    return _training_job(spark, sf, "phase-3", earlier=earlier(spark, sf))
+
+
+@query(
+    "train_woe_boosting",
+    "select name, 1.0::double as value from (values ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc')) as v(name)",
+)
+def train_woe_boosting(spark, sf):
+    """Boosting on weights of evidence, judged on a holdout of a fifth."""
+    rows = ruled(labelled(spark, sf, gaps=False)).select("row_id", *FEATURES, "label")
+    return _metric_rows(spark, train_on_woe(rows, FEATURES, NUMERICAL, **SMALL)[2])
+
+
 @query("propagate_kmeans")
 def propagate_kmeans(spark, sf):
     """Vectors relabelled by k-means clusters of all labelled vectors."""
@@ -164,19 +300,29 @@ def _request_model(spark, sf):
     cfg = request_config()
     rows = request_rows(spark, sf)
     fitted = Fitted(encode.fit_category_index(rows, cfg.categorical), stats.fit_robust(rows, ["feature1", "feature2"]))
-    ready = prepare(rows.withColumn("label", (F.col("feature2") > 50).cast("int")), cfg, fitted, ("row_id", "label"))
-    return cfg, fitted, training.fit(ready, cfg.features, "decision_tree", maxDepth=3), drift.fit_distribution(rows, ["feature3"])
+    rows_ = rows.withColumn("label", (F.col("feature3") == "error").cast("int"))
+    ready = prepare(rows_, cfg, fitted, ("row_id", "label"))
+    return cfg, fitted, training.fit(ready, cfg.features, "decision_tree"), drift.fit_distribution(rows, ["feature3"])
+
+
+ANSWERS = sql(
+    REQUEST_ROWS,
+    PLACED,
+    JS,
+    "lists as (select id, list(case when feature3 = 'error' then 1.0 else 0.0 end::double order by row_pos) as predictions from placed group by id)",
+    final="select id, predictions, 0::bigint as errors, cast(score > 0.1::double as integer) as drift from lists join js using (id)",
+)
 
 
-@query("respond_requests")
+@query("respond_requests", ANSWERS)
 def respond_requests(spark, sf):
     """All captured requests answered in one batch job."""
     cfg, fitted, model, reference = _request_model(spark, sf)
     found = read_requests(spark, captured_folder(spark, sf)).withColumn("request", F.col("id"))
-    return respond(found, cfg, fitted, model, reference)[0]
+    return respond(found, cfg, fitted, model, reference)[0].select("id", "predictions", "errors", "drift")
 
 
-@query("stream_score")
+@query("stream_score", ANSWERS)
 def stream_score(spark, sf):
     """The same requests arriving as a stream of files."""
     cfg, fitted, model, reference = _request_model(spark, sf)

@@ -24,9 +24,10 @@ from tabloop.catalog.fixtures import (
 from tabloop.operators.columns import append
 from tabloop.operators.stats import apply_robust, fit_robust
 from tabloop.plans.prepare import process_raw
-from tabloop.plans.recipes import CAPTURED_ROWS, EXTREME_ROWS, SCORED_TRAIN_ROWS, RecipeInputs, recipe
+from tabloop.plans.recipes import CAPTURED_ROWS, RecipeInputs, captured_left_out, recipe
 from tabloop.storage import small_table
 
+SCORED_CUT, EXTREMES = 1000, 400  # below the rows of the given tables, so that the cuts cut
 KEEP = "row_id, feature1, feature2, label"
 OUT = f"part, source, row_id, copy, is_synthetic, label, {s.rounded_columns(FEATURES)}"
 COLUMNS = f"row_id, {', '.join(FEATURES)}, label, copy, is_synthetic"
@@ -166,12 +167,12 @@ SCORED_KEY = h("row_id||':scored'")
         *prepared(False),
         f"scored as (select *, ({SCORED_KEY} % 5000 + 5000) / 10000 as prob from coded)",
         f"placed as (select {PLAIN}, row_number() over (order by prob desc, row_id) as p from scored)",
-        f"train1 as (select {COLUMNS} from placed where p <= {SCORED_TRAIN_ROWS})",
-        f"test1 as (select {COLUMNS} from placed where p > {SCORED_TRAIN_ROWS})",
+        f"train1 as (select {COLUMNS} from placed where p <= {SCORED_CUT})",
+        f"test1 as (select {COLUMNS} from placed where p > {SCORED_CUT})",
         captured_sql(),
         f"""more as (select * replace (row_id * 3 as row_id) from captured
-  union all (select * replace (row_id * 3 + 1 as row_id) from captured order by prob desc, captured.row_id limit {EXTREME_ROWS})
-  union all (select * replace (row_id * 3 + 2 as row_id) from captured order by prob, captured.row_id limit {EXTREME_ROWS}))""",
+  union all (select * replace (row_id * 3 + 1 as row_id) from captured order by prob desc, captured.row_id limit {EXTREMES})
+  union all (select * replace (row_id * 3 + 2 as row_id) from captured order by prob, captured.row_id limit {EXTREMES}))""",
         f"n as (select count(*) as n, {h("'cut:1242'")} as k from more)",
         "cut as (select n // 2 + (k::hugeint * (n - n // 2)) // 4294967296 as c from n)",
         "kept as (select *, label_model as label from more qualify row_number() over (order by prob, row_id) <= (select c from cut))",
@@ -185,7 +186,8 @@ def recipe_2_1(spark, sf):
     raw = labelled(spark, sf, gaps=False).select("row_id", *FEATURES, "label")
     key = F.conv(F.substring(F.md5(F.concat(F.col("row_id").cast("string"), F.lit(":scored"))), 1, 8), 16, 10).cast("bigint")
     scored = raw.withColumn("prob", (key % 5000 + 5000) / 10000)
-    return result(recipe("phase-2", "prob-1", replace(given, scored=scored)))
+    given = replace(given, scored=scored, scored_train_rows=SCORED_CUT, extreme_rows=EXTREMES)
+    return result(recipe("phase-2", "prob-1", given))
 
 
 @query(
@@ -277,3 +279,23 @@ def recipe_3_1(spark, sf):
 def recipe_3_2(spark, sf):
     given = inputs(spark, sf, "phase-3", "prob-2", multi=True, earlier=earlier(spark, sf, multi=True))
     return result(recipe("phase-3", "prob-2", given))
+
+
+@query(
+    "captured_left_out",
+    sql(
+        COMPLETE,
+        captured_sql(),
+        final="""select 'share' as cut, row_id from captured
+  qualify row_number() over (order by prob desc, row_id) > trunc((select count(*) from captured) * 0.95::double)
+union all select 'number', row_id from captured qualify row_number() over (order by """
+        + h("row_id||':1242'")
+        + ", row_id) > 700",
+    ),
+)
+def left_out(spark, sf):
+    """Captured rows that the cuts of two recipes do not take."""
+    given = replace(inputs(spark, sf, "phase-3", "prob-2"), captured_rows=700)
+    by_share = captured_left_out("phase-3", "prob-2", given).select(F.lit("share").alias("cut"), "row_id")
+    by_number = captured_left_out("phase-2", "prob-2", given).select(F.lit("number").alias("cut"), "row_id")
+    return by_share.unionByName(by_number)

@@ -141,13 +141,17 @@ def random_position(rows: int, seed: int, low: float = 0.5, high: float = 1.0) -
     return start + key * (stop - start) // 2**32
 
 
+def _sorted_terms(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
+    return [ascending(df, t).asc_nulls_last() for t in order]
+
+
 def top_confidence(df: DataFrame, k: int, ascending: bool = False, row_id: str = "row_id") -> DataFrame:
     """The k most (or least) confident rows, ties by row id."""
     order = ["prob" if ascending else "-prob", row_id]
     if k > TAKE_ROWS:
         return first_n(df, k, order)
-    prob = F.col("prob").asc_nulls_last() if ascending else F.col("prob").desc_nulls_last()
-    return df.orderBy(prob, F.col(row_id)).limit(k)
+    # the same order as the boundary search uses, missing and not-a-number last
+    return df.orderBy(*_sorted_terms(df, order)).limit(k)
 
 
 def sort_by_confidence(df: DataFrame, ascending: bool = False, row_id: str = "row_id") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Training-set recipes: one lazy plan per phase and problem, up to the model.
+"""Training-set recipes: the plan of each phase and problem, up to the model. Fitted values are found on the way.
 
 Every result has row_id, the features, the target, `copy`, `is_synthetic` and `source`. Row ids must be
 unique over the tables of one recipe.
@@ -20,7 +20,7 @@ from tabloop.operators.relabel import fit_centroids
 from tabloop.operators.resample import cluster_smote, duplicate_extremes, smote, undersample
 from tabloop.operators.stats import apply_robust, fit_robust
 
-# fixed values of the recipes
+# fixed values of the recipes, the defaults of RecipeInputs
 SCORED_TRAIN_ROWS = 50_000
 EXTREME_ROWS = 5_000
 CAPTURED_ROWS = 5_000
@@ -44,6 +44,11 @@ class RecipeInputs:
     centroids: DataFrame | None = None  # clusters for phase 1 prob 2; fitted when absent
     seed: int = 1242
     balance_threshold: float = 0.5
+    scored_train_rows: int = SCORED_TRAIN_ROWS  # phase 2 prob 1: most confident scored rows that train, the rest tests
+    extreme_rows: int = EXTREME_ROWS  # phase 2 prob 1: captured rows repeated from either end
+    captured_rows: int | None = CAPTURED_ROWS  # phase 2 prob 2: captured rows that take part, all with None
+    shuffled_share: float = SHUFFLED_SHARE  # phase 3 prob 1: share of captured rows that takes part
+    confident_share: float = CONFIDENT_SHARE  # phase 3 prob 2: share of captured rows, most confident first
 
 
 def _columns(cfg: ProblemConfig) -> list[str]:
@@ -98,11 +103,11 @@ def _phase1(inp: RecipeInputs, add_captured: bool, clustered: bool) -> tuple[Dat
 
 def _phase2_binary(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, DataFrame]:
     cfg = inp.cfg
-    head, tail = cut_n(inp.scored, SCORED_TRAIN_ROWS, ["-prob", "row_id"])
+    head, tail = cut_n(inp.scored, inp.scored_train_rows, ["-prob", "row_id"])
     train, test = (_plain(_coded(d, inp).select(*_columns(cfg)), cfg) for d in (head, tail))
     if not add_captured:
         return _named({"train": train}), _named({"test": test})
-    more = duplicate_extremes(inp.captured, EXTREME_ROWS, renumber=True)
+    more = duplicate_extremes(inp.captured, inp.extreme_rows, renumber=True)
     kept, _ = random_cut(more, ["prob", "row_id"], inp.seed)
     made = _smote(_captured(kept, inp), inp, "auto", 10)
     return _named({"captured": made}), _named({"test": test, "train": train})
@@ -116,7 +121,9 @@ def _phase2_multi(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Dat
     train = _smote(apply_robust(coded, scale), inp)
     extra = None
     if add_captured:
-        taken = first_n(inp.captured, CAPTURED_ROWS, shuffled(inp.captured, inp.seed))
+        taken = inp.captured
+        if inp.captured_rows is not None:
+            taken = first_n(taken, inp.captured_rows, shuffled(taken, inp.seed))
         rows = apply_robust(encode_labels(_captured(taken, inp), labels, cfg.target), scale)
         extra = _smote(rows, inp, "minority")
     test = encode_labels(inp.test.select(*_columns(cfg)), labels, cfg.target)
@@ -132,7 +139,7 @@ def _phase3_binary(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Da
     train = undersample(raised, cfg.target, inp.seed, ["row_id", "copy"])
     extra = None
     if add_captured:
-        taken = first_share(inp.captured, SHUFFLED_SHARE, shuffled(inp.captured, inp.seed))
+        taken = first_share(inp.captured, inp.shuffled_share, shuffled(inp.captured, inp.seed))
         extra = _smote(apply_robust(_captured(taken, inp), scale), inp, "minority")
     test = _plain(apply_robust(inp.test.select(*_columns(cfg)), scale), cfg)
     return _named({"train": train, "captured": extra}), _named({"test": test})
@@ -152,7 +159,7 @@ def _phase3_multi(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Dat
     train = _smote(ready(inp.train), inp)
     extra = None
     if add_captured:
-        taken, _ = cut_share(inp.captured, CONFIDENT_SHARE, ["-prob", "row_id"])
+        taken, _ = cut_share(inp.captured, inp.confident_share, ["-prob", "row_id"])
         extra = _smote(ready(_captured(taken, inp)), inp, "minority")
     test = _plain(ready(inp.test), cfg)
     return (
@@ -161,6 +168,18 @@ def _phase3_multi(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Dat
     )
 
 
+def captured_left_out(phase: str, problem: str, inp: RecipeInputs) -> DataFrame:
+    """Captured rows that a cut by number or share leaves out; none where the recipe has no such cut."""
+    rows, key = inp.captured, (phase, problem)
+    if key == ("phase-2", "prob-2") and inp.captured_rows is not None:
+        return rows.join(first_n(rows, inp.captured_rows, shuffled(rows, inp.seed)).select("row_id"), "row_id", "left_anti")
+    if key == ("phase-3", "prob-1"):
+        return rows.join(first_share(rows, inp.shuffled_share, shuffled(rows, inp.seed)).select("row_id"), "row_id", "left_anti")
+    if key == ("phase-3", "prob-2"):
+        return cut_share(rows, inp.confident_share, ["-prob", "row_id"])[1]
+    return rows.limit(0)
+
+
 def recipe(phase: str, problem: str, inputs: RecipeInputs, add_captured: bool = True) -> tuple[DataFrame, DataFrame]:
     """(train, test) of a phase and problem."""
     key = (phase, problem)

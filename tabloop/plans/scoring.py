@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloop.config import ProblemConfig
 from tabloop.operators.columns import mispredictions, select_features
@@ -16,6 +17,7 @@ from tabloop.operators.relabel import replace_low_confidence
 from tabloop.operators.stats import apply_imputer, apply_robust
 from tabloop.plans.training import score
 from tabloop.sources.requests import collect_per_key
+from tabloop.sources.tables import check_schema
 from tabloop.storage import settle
 
 ADDED = ("label_model", "prob")
@@ -47,23 +49,28 @@ def score_table(
     fitted: Fitted,
     other: DataFrame | None = None,
     threshold: float = 0.7,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """The raw table with `label_model` and `prob`; low-confidence labels come from `other` when given.
 
-    The raw columns travel through the model step as a struct, so nothing is joined back.
+    The raw columns travel through the model step as a struct, so nothing is joined back. With the `schema` a model
+    was saved with, rows that do not fit it are refused.
     """
     raw = df.drop(*ADDED)
     carried = raw.select("*", F.struct(*raw.columns).alias("_raw"))
-    scored = score(model, prepare(carried, cfg, fitted, ("_raw",)))
+    ready = prepare(carried, cfg, fitted, ("_raw",))
+    scored = score(model, ready if schema is None else check_schema(ready, schema))
     if fitted.labels is not None:
         scored = decode_labels(scored, fitted.labels)
     out = scored.select("_raw.*", *ADDED)
     return out if other is None else replace_low_confidence(settle(out, "scored"), other, threshold)
 
 
-def submit(df: DataFrame, model: PipelineModel, cfg: ProblemConfig, fitted: Fitted) -> DataFrame:
+def submit(
+    df: DataFrame, model: PipelineModel, cfg: ProblemConfig, fitted: Fitted, schema: T.StructType | None = None
+) -> DataFrame:
     """(batch_id, part, values): predicted classes of every batch in row order."""
-    scored = score_table(df, model, cfg, fitted)
+    scored = score_table(df, model, cfg, fitted, schema=schema)
     return collect_per_key(scored, "batch_id", F.col("label_model").cast("int"))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -18,7 +21,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,15 +90,34 @@ def score_named(model: PipelineModel, df: DataFrame) -> DataFrame:
     return score(model, df).withColumnsRenamed({"label_model": "prediction_label", "prob": "prediction_score"})
 
 
-def draw_trials(space: Mapping[str, Sequence], trials: int, seed: int) -> list[dict]:
-    """Distinct random points of a space given as lists of values."""
-    rng, seen = random.Random(seed), []
-    size = 1
-    for values in space.values():
-        size *= len(values)
-    while len(seen) < min(trials, size):
-        point = {k: rng.choice(list(v)) for k, v in space.items()}
-        if point not in seen:
+def draw_value(rng: random.Random, values):
+    """One value of a list, or of a range (low, high[, step]) given as a dict; `log` draws evenly in logarithms."""
+    if not isinstance(values, Mapping):
+        return rng.choice(list(values))
+    low, high, step = values["low"], values["high"], values.get("step")
+    if values.get("log"):
+        drawn = math.exp(rng.uniform(math.log(low), math.log(high)))
+        return min(high, max(low, round(drawn) if isinstance(low, int) and isinstance(high, int) else drawn))
+    if isinstance(low, int) and isinstance(high, int):
+        return rng.randrange(low, high + 1, step or 1)
+    return low + step * rng.randrange(int((high - low) / step + 1e-9) + 1) if step else rng.uniform(low, high)
+
+
+def draw_trials(space: Mapping[str, object], trials: int, seed: int) -> list[dict]:
+    """Distinct random points of a space of value lists and ranges; a value may be a function of the point so far.
+
+    A function that returns None leaves its parameter out. Spaces with fewer points give those they have.
+    """
+    rng, seen, misses = random.Random(seed), [], 0
+    while len(seen) < trials and misses < 50 * trials:
+        point: dict = {}
+        for k, values in space.items():
+            chosen = values(point) if callable(values) else values
+            if chosen is not None:
+                point[k] = draw_value(rng, chosen)
+        if point in seen:
+            misses += 1
+        else:
             seen.append(point)
     return seen
 
@@ -104,28 +126,35 @@ def random_search(
     df: DataFrame,
     features: Sequence[str],
     name: str,
-    space: Mapping[str, Sequence],
+    space: Mapping[str, object],
     trials: int = 100,
     seed: int = 1242,
     label: str = "label",
     train_share: float = 0.9,
     parallelism: int = 4,
+    classes: int = 2,
+    row_id: str = "row_id",
 ) -> DataFrame:
-    """(trial, params, accuracy): accuracy of each drawn setting on a holdout, best first."""
+    """(trial, params, accuracy): accuracy of each drawn setting on a holdout, best first.
+
+    The holdout follows the hash of the row id, so it does not move with the partitioning.
+    """
     points = draw_trials(space, trials, seed)
-    estimator = make_estimator(name, 2, len(features), label)
-    maps = [{estimator.getParam(k): v for k, v in p.items()} for p in points]
-    search = TrainValidationSplit(
-        estimator=pipeline(features, estimator),
-        estimatorParamMaps=maps,
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        trainRatio=train_share,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    rows = df.select(*features, F.col(label).cast("double").alias(label))
-    metrics = search.fit(rows).validationMetrics
-    board = [(i, str(dict(sorted(p.items()))), float(m)) for i, (p, m) in enumerate(zip(points, metrics, strict=True))]
+    rows = df.select(*features, F.col(label).cast("double").alias(label), (hash_key(F.col(row_id), f":{seed}") % 1000).alias("_k"))
+    rows = rows.persist()
+    held = F.col("_k") >= int(round(train_share * 1000))
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+
+    def tried(point: dict) -> float:
+        model = pipeline(features, make_estimator(name, classes, len(features), label, **point)).fit(rows.where(~held))
+        return float(evaluator.evaluate(model.transform(rows.where(held))))
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            metrics = pool.map(inheritable_thread_target(df.sparkSession)(tried), points)
+    finally:
+        rows.unpersist()
+    board = [(i, str(dict(sorted(p.items()))), m) for i, (p, m) in enumerate(zip(points, metrics, strict=True))]
     return small_table(df.sparkSession, board, "trial int, params string, accuracy double").orderBy(
         F.desc("accuracy"), "trial"
     )
