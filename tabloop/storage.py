@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import pyarrow as pa
@@ -47,6 +48,15 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of tables that nothing refers to any more, before a large next step.
+
+    Spark's cleaner acts when the driver's JVM collects its garbage, which a quiet driver does rarely.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def pin_partitions(df: DataFrame) -> DataFrame:
     """Like `settle`, but partitions and the order of rows inside them stay as they are."""
     checkpoint_root(df.sparkSession)
