@@ -19,11 +19,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloop.storage import settle
+from tabloop.storage import release_shuffles, settle
 
-SAMPLES = 64
+SAMPLES = 48
 BLANK = r"[\x20\x09-\x0D]+"
-FINE_BITS = 5  # steps of ln c between two powers of two of its probability
+FINE_BITS = 4  # steps of ln c between two powers of two of its probability
 POWERS = 16  # powers of two in the table; beyond, ln c falls by ln 2 / 2 each
 GAMMA_BITS = 8  # steps of r
 SPREAD = 4  # times the shuffle partitions of documents that their words are worked on in
@@ -162,6 +162,8 @@ def document_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     )
     digests = rows.select("key", "h", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     made = settle(digests.join(signed, ["key", "h"], "left"), "signatures")
+    del rows, signed, digests
+    release_shuffles(docs.sparkSession)  # the texts were dealt out for the signatures alone
     key = F.coalesce(F.col("doc_id"), F.lit(LOWEST))
     after = F.coalesce(F.col("next_id"), F.lit(LOWEST))
     ends = links.select(key.alias("key"), "h", "doc_id", "n_chars", "copies", after.alias("next_key"), "next_h")

@@ -45,7 +45,7 @@ def test_given_table(spark):
         off.append((r.near_edited - jaccard(bag(text), bag(edited)), r.near_next - jaccard(bag(text), bag(after))))
     off = np.array(off)
     assert np.abs(off.mean(axis=0)).max() < 0.01  # no bias
-    assert np.sqrt((off**2).mean(axis=0)).max() < 0.065  # as 64 samples scatter
+    assert np.sqrt((off**2).mean(axis=0)).max() < 0.075  # as 48 samples scatter
 
 
 def test_collision_rate_of_weighted_terms(spark):
