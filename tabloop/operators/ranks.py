@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloop.storage import settle
+
 BRACKET_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
 
@@ -61,6 +63,8 @@ def nth_values(
 ) -> dict[tuple[str, int], Nth]:
     """Exact value at each 1-based rank of each expression; nulls do not count, ranks outside are an error."""
     base = df.select(*[e.alias(n) for n, e in exprs.items()])
+    if sizes is None or any(sizes[n] > bracket_rows for n in ranks):
+        base = settle(base, "keys")  # several passes follow; they need not make the columns again
     sizes = dict(sizes) if sizes is not None else count_values(base, {n: F.col(n) for n in exprs})
     pending = []
     for name, wanted in ranks.items():
@@ -72,12 +76,28 @@ def nth_values(
     while pending:
         small = [b for b in pending if b.size <= bracket_rows]
         large = [b for b in pending if b.size > bracket_rows]
-        if small:
-            found.update(_read_small(base, small))
+        for part in _portions(small, bracket_rows):
+            found.update(_read_small(base, part))
         pending = _split_large(base, large, found, bracket_rows) if large else []
     return found
 
 
+def _portions(brackets: list[_Bracket], bracket_rows: int) -> list[list[_Bracket]]:
+    """Brackets in portions whose values together fit one task, whatever the number of brackets."""
+    spans: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        spans.setdefault((b.name, b.low, b.high), []).append(b)
+    portions: list[list[_Bracket]] = []
+    held = 0
+    for members in spans.values():
+        if not portions or held + members[0].size > 4 * bracket_rows:
+            portions.append([])
+            held = 0
+        portions[-1] += members
+        held += members[0].size
+    return portions
+
+
 def _equals(value: Column):
     return lambda x: x == value
 

@@ -96,3 +96,11 @@ def test_threshold_is_strict(spark):
 def test_reference_sample_needs_rows(spark):
     with pytest.raises(ValueError):
         drift.reference_sample(spark.range(10).withColumnRenamed("id", "row_id"))
+
+
+def test_rows_without_a_key_are_one_request(spark):
+    rows = [(None, "a"), (None, "b"), ("x", "a"), ("x", "b"), ("y", None)]
+    df = spark.createDataFrame(rows, "id string, feature3 string")
+    fitted = drift.fit_distribution(df.where("id = 'x'"), ["feature3"])
+    got = {r.id: (round(r.score, 9), r.is_drift) for r in drift.drift_per_key(fitted, df).collect()}
+    assert got[None] == (0.0, 0) and got["x"] == (0.0, 0) and got["y"][1] == 1 and len(got) == 3

@@ -17,17 +17,30 @@ def by_id(df, col="label_model"):
 
 def test_consensus_rules(spark):
     tables = [
-        scored(spark, [(1, 1, 0.95), (2, 1, 0.95), (3, 0, 0.99), (4, 1, 0.99), (5, 0, 0.9), (6, 1, 0.95)]),
+        scored(spark, [(1, 1, 0.95), (2, 1, 0.95), (3, 0, 0.99), (4, 1, 0.99), (5, 0, 0.9)]),
         scored(spark, [(1, 1, 0.93), (2, 0, 0.95), (3, 0, 0.9), (4, 1, 0.89), (5, 0, 0.9)]),
-        scored(spark, [(1, 1, 0.97), (2, 1, 0.95), (3, 0, 0.9), (4, 1, 0.95), (5, 0, 0.9), (6, 1, 0.95)]),
-        scored(spark, [(1, 1, 0.95), (2, 1, 0.95), (3, 0, 0.9), (4, 1, 0.95), (5, 0, 0.9), (6, 1, 0.95)]),
+        scored(spark, [(1, 1, 0.97), (2, 1, 0.95), (3, 0, 0.9), (4, 1, 0.95), (5, 0, 0.9)]),
+        scored(spark, [(1, 1, 0.95), (2, 1, 0.95), (3, 0, 0.9), (4, 1, 0.95), (5, 0, 0.9)]),
     ]
     out = relabel.consensus(tables)
-    # 2: labels differ; 3: first model 0.0675 above the mean; 4: one below 0.9; 6: a model is missing
+    # 2: labels differ; 3: first model 0.0675 above the mean; 4: one below 0.9
     assert by_id(out) == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
     assert by_id(out, "prob")[1] == pytest.approx(0.95)
 
 
+@pytest.mark.parametrize("second", [[(1, 1, 0.95)], [(1, 1, 0.95), (2, 1, 0.95), (2, 1, 0.95)], [(1, 1, 0.95), (3, 1, 0.95)]])
+def test_consensus_refuses_repeated_and_missing_rows(spark, second):
+    tables = [scored(spark, [(1, 1, 0.95), (2, 1, 0.95)]), scored(spark, second)]
+    with pytest.raises(Exception, match="not once in every table"):
+        relabel.consensus(tables).collect()
+
+
+def test_consensus_takes_no_missing_label_for_agreement(spark):
+    kinds = "row_id long, label_model int, prob double"
+    first = spark.createDataFrame([(1, 1, 0.95)], kinds)
+    assert by_id(relabel.consensus([first, spark.createDataFrame([(1, None, 0.95)], kinds)])) == {1: 0}
+
+
 def test_consensus_flips_other_classes_to_one(spark):
     tables = [scored(spark, [(1, 2, 0.5)])] * 2
     assert by_id(relabel.consensus(tables)) == {1: 1}
