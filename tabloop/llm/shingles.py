@@ -15,7 +15,7 @@ from pyspark.cloudpickle import register_pickle_by_value
 
 register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
-PIECE_BYTES = 2 * 1024 * 1024  # bytes hashed at a time
+PIECE_BYTES = 1024 * 1024  # bytes hashed at a time
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse
 MASK = 2**64 - 1
 
