@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabloop.storage import settle
 
 HOT_ROWS = 2_000_000  # rows of one key that a single task may take
+SALTS = 32  # tasks that share a hot key where it is not broadcast
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -32,8 +33,8 @@ def lookup_join(
     """Join to `right`, which has one row per key.
 
     A measured small right side is broadcast. Otherwise rows without a key bypass the shuffle, and keys with
-    more than `hot_rows` left rows are joined by broadcasting only their right rows: there are at most
-    rows / hot_rows such keys, so that broadcast is bounded by the table size over a constant. Counting the
+    more than `hot_rows` left rows are joined apart: by broadcasting only their right rows where these are measured
+    to be few, else by dealing a key's left rows to `SALTS` tasks that each get its right row. Counting the
     keys reads the left side twice; `settle_left` writes it first when that is dearer than writing it.
     """
     if how not in ("left", "inner"):
@@ -50,9 +51,16 @@ def lookup_join(
     hot = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*on)
     parts = []
     if hot.limit(1).count():
-        hot = F.broadcast(hot)
-        parts.append(keyed.join(hot, on, "left_anti").join(right, on, how))
-        parts.append(keyed.join(hot, on, "left_semi").join(F.broadcast(right.join(hot, on, "left_semi")), on, how))
+        hot = settle(hot, "hot")
+        few = F.broadcast(hot) if fits_broadcast(hot) else hot
+        parts.append(keyed.join(few, on, "left_anti").join(right, on, how))
+        hot_left, hot_right = keyed.join(few, on, "left_semi"), right.join(few, on, "left_semi")
+        if fits_broadcast(hot_right):
+            parts.append(hot_left.join(F.broadcast(hot_right), on, how))
+        else:
+            salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
+            copies = hot_right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            parts.append(hot_left.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt"))
     else:
         parts.append(keyed.join(right, on, how))
     if how == "left":
