@@ -55,17 +55,16 @@ def test_collision_rate_of_weighted_terms(spark):
         ({1: 0.5, 2: 3.0}, {1: 2.5, 2: 0.75, 9: 1.0}),
         ({i: 1.0 for i in range(300)}, {i: 1.0 for i in range(150, 450)}),
     ]
-    rows = [(p, side, t, w) for p, pair in enumerate(pairs) for side, bag_ in enumerate(pair) for t, w in bag_.items()]
-    df = spark.createDataFrame(rows, "p int, side int, term_ bigint, weight double").select(
-        "p", "side", F.xxhash64("term_").alias("term"), "weight"
-    )
-    counts = np.zeros(len(pairs))
-    rounds = 4
-    for i in range(rounds):
-        mixed = df.withColumn("term", F.xxhash64("term", F.lit(i)))
-        got = {(r.p, r.side): r.signature for r in fingerprints.signatures(mixed, ["p", "side"], 256).collect()}
-        counts += [np.mean(np.array(got[p, 0]) == np.array(got[p, 1])) for p in range(len(pairs))]
-    for estimate, (a, b) in zip(counts / rounds, pairs):
+    rounds = range(20)  # each with terms of its own, so their samples are independent
+    rows = [
+        (r, p, side, t, w)
+        for r in rounds for p, pair in enumerate(pairs) for side, bag_ in enumerate(pair) for t, w in bag_.items()
+    ]
+    df = spark.createDataFrame(rows, "r int, p int, side int, name bigint, weight double")
+    df = df.select("r", "p", "side", F.xxhash64("name", "r").alias("term"), "weight")
+    got = {(x.r, x.p, x.side): x.signature for x in fingerprints.signatures(df, ["r", "p", "side"]).collect()}
+    for p, (a, b) in enumerate(pairs):
+        estimate = np.mean([np.mean(np.array(got[r, p, 0]) == np.array(got[r, p, 1])) for r in rounds])
         keys = set(a) | set(b)
         exact = sum(min(a.get(k, 0), b.get(k, 0)) for k in keys) / sum(max(a.get(k, 0), b.get(k, 0)) for k in keys)
         assert abs(estimate - exact) < 0.05, (estimate, exact)
