@@ -423,8 +423,9 @@ def _judged(docs: DataFrame, doc_id: str, text: str, words: int, threshold, tile
     levels = bucket_levels(docs, words, threshold)
     rows = shingle_rows(docs, levels, words, threshold).withColumn("row", F.monotonically_increasing_id())
     rows = settle(rows, "shingles")
+    pick = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")  # the smallest identifier, nulls last
     nodes = settle(
-        rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least")), "nodes"
+        rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min(pick).alias("pick")), "nodes"
     )
     kept = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     kept = kept.select(F.col("row").alias("node"), "n", "prefix", "bitmap")
@@ -453,16 +454,15 @@ def _judged(docs: DataFrame, doc_id: str, text: str, words: int, threshold, tile
             roots = settle(components(links.unionByName(last)), "roots")
 
     member = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("first")
-    named = member.groupBy("root").agg(first)
+    named = member.groupBy("root").agg(F.min("pick").alias("first"))
     by_digest = member.join(named, "root").select(
-        "digest", F.col("first.least").alias("component_id"), F.col("first.node").alias("first_node"), "node"
+        "digest", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row")
     )
     by_digest = settle(by_digest, "members")
     known = F.when(F.col("n") > 0, F.col("digest")).alias("digest")
-    out = lookup_join(rows.select("doc_id", "h", F.col("n").alias("n_shingles"), known), by_digest, ["digest"])
+    out = lookup_join(rows.select("row", "doc_id", "h", F.col("n").alias("n_shingles"), known), by_digest, ["digest"])
     alone = F.col("digest").isNull()
-    stays = alone | ((F.col("node") == F.col("first_node")) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = alone | (F.col("row") == F.col("first_row"))
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), stays.alias("stays"))
 
