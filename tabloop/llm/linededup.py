@@ -9,8 +9,8 @@ line stays does not matter, so the first of a group of alike lines always stays.
 2. Tokens are ordered by rarity: those whose hash bucket is used far more than the mean come last, then by hash.
    Alike lines share one of their first n - ceil(t n) + 1 tokens. Rows of tokens that one line alone has are dropped.
 3. Lines of a token group are in order of position. Each line is first compared with the group's first line and the
-   ones just before it, of fitting length; most copies end here. What is left is joined with all earlier lines of its
-   token groups, with length and positional filters.
+   one just before it, with length and positional filters; most copies end here. What is left is joined with all
+   earlier lines of its token groups; a pair goes on if its number of common first tokens leaves room for the overlap.
 4. Pairs are verified on the token sets, made again from the texts of just those lines.
 
 No list of a group's lines is ever gathered. Null texts have no lines. Rows with one identifier and text are one
@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloop.operators.skew import fits_broadcast, lookup_join
-from tabloop.storage import settle
+from tabloop.storage import release_shuffles, settle
 
 BLANK = r"[\x20\x09-\x0D]+"
 WORDS = 5
 THRESHOLD = (80, 100)  # lines match when 100 * intersection >= 80 * union
 BUCKETS = 2**18  # of the table of token use; its size never changes
 OFTEN = 32  # a bucket used this many times more than the mean is frequent: at most BUCKETS / OFTEN are
-AHEAD = 1  # lines just before a line that it is compared with first
+AHEAD = 1  # lines just before a line that it is compared with at once
 WANTED_ROWS = 2_000_000  # hashes of lines that may be copied to every task, if they take no more than 64 MB
 
 
@@ -41,7 +41,8 @@ def tokens_of(line: Column, words: int = WORDS) -> Column:
     hashes = F.transform(F.split(text, BLANK), lambda w: F.xxhash64(w))
 
     def runs(h: Column) -> Column:
-        many = F.transform(F.sequence(F.lit(1), F.size(h) - (words - 1)), lambda i: F.xxhash64(F.slice(h, i, words)))
+        starts = F.sequence(F.lit(0), F.size(h) - words)
+        many = F.transform(starts, lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(words))))
         return F.when(F.size(h) >= words, many).otherwise(F.array(F.xxhash64(h)))
 
     # a one-element array lets the word hashes be used many times and made once
@@ -106,6 +107,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, words
     shared = rows.select("token", F.col("k1").alias("id"), "n", "at").withColumn("least", F.min("id").over(group))
     shared = shared.withColumn("most", F.max("id").over(group)).where("least <> most").drop("least", "most")
     shared = settle(shared, "shared")
+    release_shuffles(docs.sparkSession)  # all lines' first tokens were dealt out for the shared ones alone
     ids = settle(shared.select(F.col("id").alias("k1")).distinct(), "ids")
     places = lookup_join(alone.select("k1", "doc_id", "h", "line_no"), ids, ["k1"], "inner")
     places = settle(places.groupBy(F.col("k1").alias("id")).agg(F.min(_place()).alias("place")), "places")
@@ -120,11 +122,15 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, words
     tried = settle(tried.select("id", "other").distinct(), "pairs")
     sets = settle(token_sets(docs, settle(_ends(tried), "ends"), words), "sets")
     found = settle(_alike(tried, sets, threshold), "matches")
-
-    left = live.join(found.select("id").distinct(), "id", "left_anti")
-    later = live.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("at").alias("bt"), F.col("place").alias("before"))
-    rest = left.join(later, "token").where((F.col("before") < F.col("place")) & (F.col("other") != F.col("id")) & _fits(threshold))
-    rest = settle(rest.select("id", "other").distinct().join(tried, ["id", "other"], "left_anti"), "pairs")
+    release_shuffles(docs.sparkSession)
+
+    left = live.join(found.select("id").distinct(), "id", "left_anti").select("token", "id", "n", "place")
+    later = live.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("place").alias("before"))
+    both = left.join(later, "token").where((F.col("before") < F.col("place")) & (F.col("other") != F.col("id")))
+    both = both.where(whole * F.least("n", "m") >= part * F.greatest("n", "m"))
+    shared_firsts = both.groupBy("id", "other", "n", "m").agg(F.count(F.lit(1)).alias("c")).where(_enough(threshold))
+    rest = settle(shared_firsts.select("id", "other").join(tried, ["id", "other"], "left_anti"), "pairs")
+    release_shuffles(docs.sparkSession)
     if rest.limit(1).count():
         new = _ends(rest).join(sets.select(F.col("id").alias("k1")), "k1", "left_anti")
         sets = sets.unionByName(settle(token_sets(docs, settle(new, "ends"), words), "sets"))
@@ -142,6 +148,18 @@ def _fits(threshold: tuple[int, int]) -> Column:
     return (whole * F.least(n, m) >= part * F.greatest(n, m)) & ((whole + part) * most >= part * (n + m))
 
 
+def _enough(threshold: tuple[int, int]) -> Column:
+    """Whether `c` common tokens among the first ones leave room for the overlap.
+
+    Of the lists of first tokens one ends no later in the order than the other; any further common token lies behind
+    that end, so its line has at most n - p more of them.
+    """
+    part, whole = threshold
+    n, m = F.col("n"), F.col("m")
+    most = F.col("c") + F.greatest(n - first_size(n, threshold), m - first_size(m, threshold))
+    return (whole + part) * most >= part * (n + m)
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("id").alias("k1")).union(pairs.select("other")).distinct()
 
