@@ -34,6 +34,7 @@ LEAST_G = 12.0
 LEAST_ROWS = 5  # of the sample, that have a kept term
 FACTORS = 8
 EPOCHS = 12
+LEAST_STEPS = 2000  # small samples are gone through more often
 BATCH = 128
 RATE = 0.02
 DECAY = 1e-4
@@ -97,7 +98,8 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, size: int, seed: int
     parts = [np.full(1, np.log(share / (1 - share))), np.zeros(size), draw.normal(0, 0.01, (size, FACTORS))]
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     step = 0
-    for _ in range(EPOCHS if size else 0):
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // max(len(rows), 1)))
+    for _ in range(epochs if size else 0):
         order = draw.permutation(len(rows))
         for begin in range(0, len(order), BATCH):
             some = order[begin : begin + BATCH]
