@@ -18,6 +18,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 MIX_SHARE = 0.8  # of the tokens that reach the mixing stage
 MIX_EPOCHS = 1
+NEAR_WORDS = 5  # of a shingle in the near-copy stage; op7 has a contract of its own
+NEAR_THRESHOLD = (80, 100)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return nearjoin.without_copies(docs)
+    """One document of each group of near copies: at least 0.8 of their five-word shingles are shared."""
+    return nearjoin.without_copies(docs, words=NEAR_WORDS, threshold=NEAR_THRESHOLD)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The stages, each on what the one before kept."""
 
 import public_tokenizers
+import test_nearjoin
 import tiktoken
 from test_linededup import brute as lines_removed
 from test_nearjoin import brute as groups
@@ -43,6 +44,22 @@ def test_each_stage_on_its_input(spark):
         assert r.ids == known.encode_ordinary(texts[r.doc_id]) and r.round_trip and r.n_tokens == len(r.ids)
 
 
+def test_near_copies_share_five_word_shingles(spark, monkeypatch):
+    """Copies with some words replaced, on both sides of 0.8 of the five-word shingles and of 0.9 of the three-word ones."""
+    texts = [[f"d{d}w{i}" for i in range(120)] for d in range(8)]
+    rows = [(10 * d, " ".join(t)) for d, t in enumerate(texts)]
+    for d, t in enumerate(texts):
+        for copy in range(1, 4):
+            step = 120 // (d + 1)
+            rows.append((10 * d + copy, " ".join(w if i % step or i // step >= d else f"new{copy}" for i, w in enumerate(t))))
+    three = {i for i, _, c in groups(rows) if i == c}
+    monkeypatch.setattr(test_nearjoin.shingles, "__defaults__", (5,))
+    five = {i for i, _, c in groups(rows, 80, 100) if i == c}
+    assert five < three and len(five) > 8  # the two rules differ here
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, df, PATH).collect()} == five
+
+
 def test_run_gives_the_last_stage(spark):
     assert set(corpus_pipeline.run(spark, "/root/testdata/sf0.001").columns) == {"doc_id", "lang", "source", "n_tokens", "ids", "round_trip"}
 
