@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from tabloop.storage import release_shuffles, settle
 
-SAMPLES = 48
+SAMPLES = 64
 BLANK = r"[\x20\x09-\x0D]+"
-FINE_BITS = 4  # steps of ln c between two powers of two of its probability
+FINE_BITS = 6  # steps of ln c between two powers of two of its probability
 POWERS = 16  # powers of two in the table; beyond, ln c falls by ln 2 / 2 each
-GAMMA_BITS = 8  # steps of r
+GAMMA_BITS = 9  # steps of r
 SPREAD = 4  # times the shuffle partitions of documents that their words are worked on in
 BLOCK_ROWS = 50_000  # documents of one block of the ordered chain
 BLOCKS = 1000
@@ -45,7 +45,13 @@ def _tables() -> tuple[Column, Column]:
         math.log(gamma_quantile((1 + (m + 0.5) / steps) / 2 ** (j + 1))) for j in range(POWERS) for m in range(steps)
     ]
     r = [gamma_quantile((i + 0.5) / 2**GAMMA_BITS) for i in range(2**GAMMA_BITS)]
-    return F.lit(ln_c), F.lit(r)
+    return _constant(ln_c), _constant(r)
+
+
+def _constant(values: list[float]) -> Column:
+    """A list as one constant, read from its text. As a literal of each value the plan of all samples holds them all
+    as nodes, in the driver's memory."""
+    return F.split(F.lit(" ".join(map(repr, values))), " ").cast("array<double>")
 
 
 def rank(h: Column, ln_weight: Column, tables: tuple[Column, Column]) -> Column:
