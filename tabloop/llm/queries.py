@@ -116,10 +116,11 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_line_dedup")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    gone = linededup.removals(docs.select("doc_id", "text")).withColumnRenamed("key", "doc_id")
+    gone = linededup.removals(docs.select("doc_id", "text"))
     size = F.size(F.split("text", "\n", -1)).alias("n_lines")
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.when(F.col("text").isNull(), 0).otherwise(size).alias("n_lines"))
-    out = rows.join(gone, ["doc_id", "h"], "left")
+    named = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))  # as removals() names a null identifier
+    out = rows.withColumn("key", named).join(gone, ["key", "h"], "left")
     return out.select("doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 

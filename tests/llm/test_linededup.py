@@ -97,3 +97,11 @@ def test_repeated_and_null_identifiers(spark):
 
 def test_empty_table(spark):
     assert linededup.without_repeats(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_query_reports_the_lines_of_a_null_identifier(spark, monkeypatch):
+    rows = [(None, "a b c d e f\nother\na b c d e f"), (1, "a b c d e f\nown line")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    out = queries.QUERIES["op8_line_dedup"](spark, "").collect()
+    assert {r.doc_id: (r.n_lines, list(r.removed)) for r in out} == {None: (3, [2]), 1: (2, [0])}
