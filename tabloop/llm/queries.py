@@ -100,12 +100,27 @@ RULES = [
 ]
 
 
+def page_text(html: Column) -> Column:
+    """What a page shows: without scripts, styles and tags."""
+    bare = F.regexp_replace(html.cast("string"), r"(?is)<(script|style)\b.*?</\1\s*>", " ")
+    return F.regexp_replace(bare, r"<[^>]*>", " ")
+
+
+def content_marks(spark: SparkSession, sf: str, pages: DataFrame) -> DataFrame:
+    """(url, bad) of every page with a text: whether the classifiers fitted on the documents' labels find it of low
+    quality or toxic. Pages and documents share numbers but no texts, so a document's label says nothing of a page."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    rows = pages.select("url", page_text(F.col("html")).alias("text")).where("trim(text) <> ''")
+    scored = quality.evidence(rows, quality.fit(docs, labels))
+    scored = toxicity.score(scored, toxicity.fit(docs, labels))
+    bad = (F.col("p_document") < quality.THRESHOLD) | (F.col("score") >= toxicity.THRESHOLD)
+    return scored.select("url", bad.alias("bad"))
+
+
 @query("op6_url_association_rules")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", "url")
-    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)  # labels carry the same numbers as pages
-    marks = table(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    return urls.judge(pages, pages.join(marks, "page_id").select("url", "bad"), RULES).drop("url")
+    pages = table(spark, sf, "pages")
+    return urls.judge(pages.select("page_id", "url"), content_marks(spark, sf, pages), RULES).drop("url")
 
 
 @query("op7_ngram_jaccard_join", texts.NEAR)
