@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloop.llm import bpe, fingerprints, linededup, mixing, nearjoin, quality, toxicity, urls, vectors, warc
+from tabloop.llm import bpe, fingerprints, linededup, mixing, nearjoin, quality, shards, toxicity, urls, vectors, warc
 from tabloop.llm.labelled import held_out
 from tabloop.llm import sql as texts
 from tabloop.storage import scratch_path
@@ -157,3 +157,15 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+SHARDS = 16
+
+
+@query("op11_weighted_hash_tree_sharding", texts.SHARDING)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    tree = shards.even_tree(SHARDS)
+    rows = shards.slots(table(spark, sf, "documents"), tree, shards.grown(tree, SHARDS))
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "region", "rack", "shard", "slot", "grown_shard"
+    )

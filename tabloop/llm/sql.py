@@ -87,3 +87,50 @@ o as (
   select *, coalesce(sum(n_tokens) over (partition by domain, lang, source, epoch order by {key}, id, h
     rows between unbounded preceding and 1 preceding), 0) as before from x)
 select doc_id, domain, lang, source, n_tokens, epoch from o where epoch <= whole or before < rest"""
+
+
+CRC32 = """
+steps(n, k, c) as (
+  select n, 0, cast(n as bigint) from range(256) r(n)
+  union all select n, k + 1, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end from steps where k < 8),
+bytes as (select list(c order by n) as t from steps where k = 8)"""
+
+
+def crc32(text: str) -> str:
+    """Checksum of a text's bytes; `t` is the table of `bytes`."""
+    pairs = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: cast('0x' || x as bigint))"
+    step = "lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])"
+    return f"xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), {pairs}), {step}))"
+
+
+def descent(name: str, source: str, shards: int) -> str:
+    """The shard that each `key` of `source` descends to, in racks of four and regions of eight shards."""
+    parts, below = [], f"select id, key, 0 as node from {source}"
+    for level, width in (("region", 8), ("rack", 4), ("shard", 1)):
+        wide = {"region": shards, "rack": 8, "shard": 4}[level]
+        number = f"cast('0x' || substr(md5(key || ':{level}:' || child || ':11'), 1, 13) as bigint)"
+        parts.append(f"""{name}_{level} as (
+  select id, key, child as node from (
+    select id, key, child, row_number() over (
+      partition by id order by -ln((cast({number} as double) + 0.5) / 4503599627370496) / weight, child) as place
+    from (select p.id, p.key, w.child, w.weight from ({below}) p join (
+      select s // {width} as child, s // {wide} as parent, cast(count(*) as double) as weight
+      from range({shards}) r(s) group by all) w on w.parent = p.node)) where place = 1)""")
+        below = f"select id, key, node from {name}_{level}"
+    return ",\n".join(parts)
+
+
+SHARDING = f"""
+with recursive {CRC32},
+d as (
+  select row_number() over () as id, doc_id, coalesce(cast(doc_id as varchar), 'null') as key,
+    cast(octet_length(encode(coalesce(text, ''))) + 1 as bigint) as size, {crc32("coalesce(text, '')")} as text_crc32
+  from documents, bytes),
+{descent("own", "d", 16)},
+{descent("more", "d", 17)}
+select doc_id, size, cast(text_crc32 as bigint) as text_crc32, 'key' as law, cast(o.node // 8 as integer) as region,
+  cast(o.node // 4 as integer) as rack, cast(o.node as integer) as shard,
+  row_number() over (partition by o.node order by
+    cast('0x' || substr(md5(d.key || ':' || size || ':' || text_crc32 || ':11'), 1, 13) as bigint),
+    doc_id nulls first, size, text_crc32) - 1 as slot, cast(m.node as integer) as grown_shard
+from d join own_shard o using (id) join more_shard m using (id)"""
