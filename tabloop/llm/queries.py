@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloop.llm import bpe, fingerprints, linededup, mixing, nearjoin, quality, shards, toxicity, urls, vectors, warc
+from tabloop.llm import audit, bpe, fingerprints, linededup, mixing, nearjoin, quality, shards, toxicity, urls, vectors, warc
 from tabloop.llm.labelled import held_out
 from tabloop.llm import sql as texts
 from tabloop.storage import scratch_path
@@ -169,3 +169,8 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "region", "rack", "shard", "slot", "grown_shard"
     )
+
+
+@query("op12_filter_interaction_audit", texts.AUDIT)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))

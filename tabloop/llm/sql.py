@@ -134,3 +134,51 @@ select doc_id, size, cast(text_crc32 as bigint) as text_crc32, 'key' as law, cas
     cast('0x' || substr(md5(d.key || ':' || size || ':' || text_crc32 || ':11'), 1, 13) as bigint),
     doc_id nulls first, size, text_crc32) - 1 as slot, cast(m.node as integer) as grown_shard
 from d join own_shard o using (id) join more_shard m using (id)"""
+
+
+AUDIT = f"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), {WORD}) as w
+  from documents),
+k as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+  from labels group by 1),
+f as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    len(w) < 200 as a, 100 * len(list_distinct(w)) < 50 * len(w) as b,
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+    coalesce(doc_id > min(doc_id) over (partition by t), false) as e
+  from d left join k using (doc_id)),
+fails as (
+  select part, good, toxic, (case when a then 'A' else '' end) || (case when b then 'B' else '' end)
+    || (case when c then 'C' else '' end) || (case when d then 'D' else '' end) || (case when e then 'E' else '' end) as failed
+  from f),
+counted as (
+  select part, failed, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+  from fails group by 1, 2),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (
+  select filter_order, cast(step as integer) as step, filter_order[step] as own, filter_order[1:step - 1] as earlier
+  from orders, range(1, 6) r(step)),
+every as (
+  select part, filter_order, step, own, n, good, toxic, contains(failed, own) as fails, failed = own as alone,
+    len(list_intersect(string_split(failed, ''), string_split(earlier, ''))) > 0 and failed <> '' and earlier <> '' as gone
+  from counted, steps),
+summed as (
+  select part, filter_order, step, own,
+    coalesce(sum(n) filter (where not fails and not gone), 0) as kept,
+    coalesce(sum(n) filter (where fails and not gone), 0) as removed,
+    coalesce(sum(n) filter (where fails and gone), 0) as redundant,
+    coalesce(sum(n) filter (where alone), 0) as unique_fails,
+    coalesce(sum(good) filter (where fails and not gone), 0) as good_lost,
+    coalesce(sum(toxic) filter (where fails and not gone), 0) as toxic_lost
+  from every group by 1, 2, 3, 4)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, own) as bigint) as shapley
+from summed"""
