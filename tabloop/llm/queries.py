@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloop.llm import audit, bpe, fingerprints, linededup, mixing, nearjoin, quality, shards, toxicity, urls, vectors, warc
+from tabloop.llm import audit, bpe, fingerprints, linededup, mixing, nearjoin, negatives, quality, shards, toxicity, urls, vectors, warc
 from tabloop.llm.labelled import held_out
 from tabloop.llm import sql as texts
 from tabloop.storage import scratch_path
@@ -174,3 +174,9 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_filter_interaction_audit", texts.AUDIT)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op13_hard_negatives", texts.HARD)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, label)

@@ -20,6 +20,7 @@ below are never drawn. An empty table gives an empty table. Columns named like t
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,6 +37,7 @@ RACK_SHARDS, REGION_RACKS = 4, 2
 LEVELS = ("region", "rack", "shard")
 HEX_DIGITS = 13  # of a draw: 52 bits, exact in a double
 SEED = 11
+CHILDREN = "array<struct<child: int, weight: double>>"
 
 
 @dataclass(frozen=True)
@@ -91,8 +93,11 @@ def place(rows: DataFrame, tree: Tree, doc_id: str = "doc_id", seed: int = SEED,
     keep = placed.columns
     out = placed.withColumn("_key", key_text(doc_id)).withColumn("_a", F.lit(-1)).withColumn("_b", F.lit(-1))
     for depth, (level, children) in enumerate(zip(LEVELS, tree.children(), strict=True)):
-        nodes = _by_parent(spark, children)
-        out = out.join(F.broadcast(nodes), ["_a", "_b"])
+        if depth == 0:
+            top = json.dumps([{"child": child, "weight": weight} for _, _, child, weight in children])
+            out = out.withColumn("_children", F.from_json(F.lit(top), CHILDREN))  # folded into a constant
+        else:
+            out = out.join(F.broadcast(_by_parent(spark, children)), ["_a", "_b"])
         best = F.array_min(F.transform("_children", lambda c: F.struct(draw(F.col("_key"), level, c.child, c.weight, seed), c.child)))
         out = out.withColumn(f"_{depth}", best.child).drop("_children")
         if depth == 0:
@@ -108,7 +113,7 @@ def _by_parent(spark: SparkSession, children: list[tuple[int, int, int, float]])
     for region, rack, child, weight in children:
         parents.setdefault((region, rack), []).append((child, weight))
     rows = [(*parent, own) for parent, own in parents.items()]
-    return small_table(spark, rows, "_a int, _b int, _children array<struct<child: int, weight: double>>")
+    return small_table(spark, rows, f"_a int, _b int, _children {CHILDREN}")
 
 
 def slot_key(doc_id: str = "doc_id", seed: int = SEED) -> Column:

@@ -182,3 +182,28 @@ select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as b
   cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
   cast(sum(removed) over (partition by part, own) as bigint) as shapley
 from summed"""
+
+
+HARD = """
+with v as (
+  select vec_id, row_number() over () as r, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as c
+  from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id as other_id, a.label = b.label as alike,
+    cast(list_sum(list_transform(list_zip(a.c, b.c), lambda p: p[1] * p[2])) as bigint) as score
+  from v a join v b on a.r <> b.r and len(a.c) = len(b.c) where a.vec_id % 100 = 0),
+p as (
+  select * from (
+    select *, row_number() over (partition by ar order by score desc, other_id nulls first, br) as place from s where alike)
+  where place <= 5),
+n as (
+  select p.anchor_id, p.other_id as positive_id, s.other_id as negative_id, p.score as positive_score,
+    s.score as negative_score,
+    row_number() over (partition by p.ar, p.br order by s.score desc, s.other_id nulls first, s.br) as place
+  from p join s on p.ar = s.ar and not s.alike
+  where 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+select anchor_id, positive_id, cast(place as integer) as rank, negative_id, positive_score, negative_score
+from n where place <= 10"""
