@@ -26,18 +26,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.functions.keys import hash_key
+from tabloop.plans import boosting
 from tabloop.storage import small_table
 
 # fixed values: boosted trees of the reference settings
 BOOSTING = {"maxIter": 200, "maxDepth": 7}
 HIDDEN_LAYER = 100
+BOOSTED = ("xgb", "lightgbm", "gbt")
+SOFTMAX = {"maxIter": "rounds", "maxDepth": "depth", "stepSize": "rate", "maxBins": "bins"}  # names in boosting.fit
 KNN_NEIGHBOURS = 20  # used by neighbours.knn_vote, the "knn" choice
 
 
 def make_estimator(name: str, classes: int = 2, inputs: int | None = None, label: str = "label", **params):
-    """Classifier by name; boosting of more than two classes is one against the rest."""
+    """Classifier of Spark ML by name; here, boosting of more than two classes is one against the rest (see `fit`)."""
     common = {"featuresCol": "features", "labelCol": label}
-    if name in ("xgb", "lightgbm", "gbt"):
+    if name in BOOSTED:
         boosted = GBTClassifier(**{**BOOSTING, "seed": 1242, **params}, **common)
         return boosted if classes <= 2 else OneVsRest(classifier=boosted, **common)
     if name == "random_forest":
@@ -63,17 +66,24 @@ def pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator])
 
 
-def fit(df: DataFrame, features: Sequence[str], name: str = "xgb", label: str = "label", classes: int = 2, **params) -> PipelineModel:
-    """Fit a model on coded, scaled rows with an integer label."""
+def fit(
+    df: DataFrame, features: Sequence[str], name: str = "xgb", label: str = "label", classes: int = 2, **params
+) -> PipelineModel | boosting.Boosted:
+    """Fit a model on coded, scaled rows with an integer label; boosting of more than two classes is softmax boosting."""
+    if name in BOOSTED and classes > 2:
+        given = {SOFTMAX.get(k, k): v for k, v in params.items()}
+        return boosting.fit(df, features, label, classes, **given)
     rows = df.select(*features, F.col(label).cast("double").alias(label))
     return pipeline(features, make_estimator(name, classes, len(features), label, **params)).fit(rows)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | boosting.Boosted, df: DataFrame) -> DataFrame:
     """Add `label_model` (class code) and `prob`, the largest class probability.
 
     Models without probabilities get the logistic of their margins, normalised over the classes.
     """
+    if isinstance(model, boosting.Boosted):
+        return boosting.score(model, df)
     out = model.transform(df)
     if "probability" in out.columns:
         chances = vector_to_array("probability")
