@@ -37,6 +37,7 @@ BINS = 64
 UNIT = float(2**24)
 MAX_CELLS = 2**23
 SETTLE_ROUNDS = 20
+TASK_ROWS = 20_000
 LEAST_GAIN = 1e-6
 NODES = "round int, class int, node int, column int, bin int, cut double, value double"
 CELLS = "class int, node int, cell int, g bigint, h bigint"
@@ -248,9 +249,9 @@ def fit(
     known = settle(known, "labelled")
     ends = known.where(~F.col("held")).select(*(F.col("x")[i].alias(f"x{i}") for i in range(len(features))))
     cuts = fit_cuts(ends, [f"x{i}" for i in range(len(features))], bins)
-    wrong = known.agg(F.min("label"), F.max("label")).first()
-    if wrong[0] is not None and not 0 <= wrong[0] <= wrong[1] < classes:
-        raise ValueError(f"labels from {wrong[0]} to {wrong[1]} for {classes} classes")
+    least, most, count = known.agg(F.min("label"), F.max("label"), F.count(F.lit(1))).first()
+    if least is not None and not 0 <= least <= most < classes:
+        raise ValueError(f"labels from {least} to {most} for {classes} classes")
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,6 +260,7 @@ def fit(
             columns.append(pa.array([[0.0] * classes] * len(x), pa.list_(pa.float64())))
             yield pa.RecordBatch.from_arrays(columns, names=["bins", "label", "held", "margins"])
 
+    known = known.coalesce(max(1, -(-count // TASK_ROWS)))  # no more tasks a level than they are worth
     rows = settle(known.mapInArrow(coded, "bins array<int>, label int, held boolean, margins array<double>"), "bins")
     model, since, best = Boosted(classes, features, cuts, [], []), [], (np.inf, -1)
     for number in range(rounds + 1):
