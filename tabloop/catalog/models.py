@@ -34,7 +34,7 @@ from tabloop.catalog.requests import JS, PLACED, captured_folder
 from tabloop.functions.keys import hash_key
 from tabloop.operators import drift, encode, relabel, stats
 from tabloop.operators.evaluate import binary_metrics, confidence_report, micro_metrics
-from tabloop.plans import training
+from tabloop.plans import search, training
 from tabloop.plans.improve import consensus_labels
 from tabloop.plans.jobs import train_model, train_on_woe
 from tabloop.plans.scoring import Fitted, evaluate, prepare, score_table, submit
@@ -216,11 +216,25 @@ def model_round_trip(spark, sf):
     return training.score(model, tables.check_schema(ready, schema)).groupBy("label_model").agg(F.count(F.lit(1)).alias("n"))
 
 
+TREE_SPACE = {
+    "maxDepth": {"low": 1, "high": 10},
+    "maxBins": [8, 16, 32, 64],
+    "minInstancesPerNode": {"low": 1, "high": 200, "log": True},
+    "minInfoGain": {"low": 0.0, "high": 0.2},
+}
+
+
 @query("random_search")
 def random_search(spark, sf):
     _, _, ready = training_rows(spark, sf)
-    space = {"maxDepth": [2, 3, 4], "maxBins": [16, 32], "minInstancesPerNode": [1, 5]}
-    return training.random_search(ready, FEATURES, "decision_tree", space, trials=4)
+    return training.random_search(ready, FEATURES, "decision_tree", TREE_SPACE, parallelism=8)
+
+
+@query("guided_search")
+def guided_search(spark, sf):
+    """A hundred trials proposed by densities of the good and the poor ones before."""
+    _, _, ready = training_rows(spark, sf)
+    return search.guided_search(ready, FEATURES, "decision_tree", TREE_SPACE, trials=100, parallelism=8)
 
 
 @query("leaderboard")

@@ -29,7 +29,7 @@ from tabloop.catalog.fixtures import (
 )
 from tabloop.functions.keys import order_key
 from tabloop.operators import columns as C
-from tabloop.operators import encode, ordering, stats, woe
+from tabloop.operators import binning, encode, ordering, stats, woe
 from tabloop.operators.evaluate import class_counts
 from tabloop.plans.prepare import process_raw
 from tabloop.sources import tables
@@ -388,6 +388,50 @@ def woe_pipeline(spark, sf):
     return rounded(transform(rows).select("row_id", "feature1", "feature3"), ["feature1", "feature3"], 5)
 
 
+# every subset of the inner cuts between the values of a column, as the bits of a number; at most 8 bins of 5 % each
+BEST_BINS = """
+rows_ as (select case when l_tax = 0.08 then null else l_discount end as x,
+    cast(l_quantity + 200 * l_discount > 35 as bigint) as y from lineitem),
+fine as (select x, row_number() over (order by x) - 1 as i, sum(y) as e, sum(1 - y) as n
+  from rows_ where x is not null group by x),
+size as (select count(*) as k, (select sum(y) from rows_) as es, (select sum(1 - y) from rows_) as ns from fine),
+cells as (
+  select m, fine.*, bit_count(cast(m & ((1 << cast(i as integer)) - 1) as bigint)) as bin
+  from fine, size, (select unnest(range(0, 1 << cast((select k from size) - 1 as integer))) as m)),
+parts as (
+  select m, cast(bin as integer) as bin, max(x) as top, cast(sum(e) as bigint) as e, cast(sum(n) as bigint) as n, max(i) as last
+  from cells group by m, bin),
+valued as (
+  select parts.*, es, ns, e / (e + n) as rate, (n / ns - e / es) * ln((n / ns) / (e / es)) as iv,
+    lag(e / (e + n)) over (partition by m order by bin) as before
+  from parts, size),
+best as (
+  select m, round(sum(iv), 12) as total, count(*) as bins, list(last order by bin) as ends from valued group by m
+  having bool_and(e > 0 and n > 0 and e + n >= 0.05 * (es + ns)) and count(*) <= 8
+    and (bool_and(before is null or rate >= before) or bool_and(before is null or rate <= before))
+  order by total desc, bins, ends limit 1),
+chosen as (select valued.*, lag(top) over (order by bin) as lower, max(bin) over () as most from valued join best using (m))"""
+
+
+@query(
+    "optimal_bins",
+    "with " + BEST_BINS + """
+select 'x' as col, bin, lower, case when bin < most then top end as upper, e as events, n as nonevents,
+  round(ln((n / ns) / (e / es)), 9) as woe, round(iv, 9) as iv from chosen
+union all
+select 'x', -1, null, null, cast(sum(y) as bigint), cast(sum(1 - y) as bigint), round(ln((sum(1 - y) / ns) / (sum(y) / es)), 9),
+  round((sum(1 - y) / ns - sum(y) / es) * ln((sum(1 - y) / ns) / (sum(y) / es)), 9)
+from rows_, size where x is null group by ns, es""",
+)
+def optimal_bins(spark, sf):
+    """The cuts of a discount that tell most about a label; the SQL tries all subsets of cuts."""
+    rows = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_tax") != 0.08, F.col("l_discount")).alias("x"),
+        (F.col("l_quantity") + 200 * F.col("l_discount") > 35).cast("int").alias("label"),
+    )
+    return rounded(binning.fit(rows, [], ["x"]).drop("categories", "rest"), ["woe", "iv"], 9)
+
+
 # positions, samples, splits
 
 

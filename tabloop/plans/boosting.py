@@ -18,7 +18,7 @@ early when no tree of a round splits, or when the loss of the held-out rows has
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -230,11 +230,12 @@ def _advance(rows: DataFrame, done: list[list[Tree]]) -> DataFrame:
 def fit(
     df: DataFrame, features: Sequence[str], label: str = "label", classes: int = 2, rounds: int = ROUNDS, depth: int = DEPTH,
     rate: float = RATE, l1: float = L1, l2: float = L2, least_hessian: float = LEAST_HESSIAN, bins: int = BINS,
-    held: Column | None = None, patience: int | None = None,
+    held: Column | None = None, patience: int | None = None, stop: Callable[[float], bool] | None = None,
 ) -> Boosted:
     """Trees for integer labels 0 to classes - 1; rows where `held` only count for the held-out loss.
 
-    Rows without a label are left out. `losses` holds the mean loss before the first round and after each.
+    Rows without a label are left out. `stop` is told the held-out loss after each round and may end the fit there.
+    `losses` holds the mean loss before the first round and after each.
     """
     if classes < 2:
         raise ValueError("boosting needs two classes at least")
@@ -276,7 +277,8 @@ def fit(
                     own = (found["class"] == -1) & (found["node"] == part) & (found["h"] > 0)
                     if own.any():
                         model.losses.append((number, name, float(found["g"][own][0] / UNIT / found["h"][own][0])))
-                if number == rounds:
+                told = stop is not None and number > 0 and model.losses[-1][1] == "held" and stop(model.losses[-1][2])
+                if number == rounds or told:
                     return model
             for k, tree in enumerate(trees):
                 fresh = []
