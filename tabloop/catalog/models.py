@@ -114,6 +114,32 @@ def train_multiclass(spark, sf):
     return micro_metrics(training.score(model, rows), "label", "label_model")
 
 
+MIDDLE = ("BUILDING", "FURNITURE", "HOUSEHOLD")  # neighbours in code order, with others on both sides
+BETWEEN = f"select row_id, cast(feature4 in {MIDDLE} as integer) as label_model, true as sure from complete"
+
+
+def _middle(spark, sf, name: str):
+    """A model of rows whose label is 1 for the middle categories, which no single cut tells."""
+    rows = labelled(spark, sf, gaps=False)
+    fitted = fitted_on(rows)
+    ready = prepare(rows.withColumn("label", F.col("feature4").isin(*MIDDLE).cast("int")), config(), fitted, ("row_id", "label"))
+    ready = settle(ready)
+    model = training.fit(ready, ["feature4"], name)
+    return training.score(model, ready).select("row_id", "label_model", (F.col("prob") > 0.5).alias("sure"))
+
+
+@query("train_ada_boost", sql(COMPLETE, final=BETWEEN))
+def train_ada_boost(spark, sf):
+    """Stumps of the default rounds and depth."""
+    return _middle(spark, sf, "ada_boost")
+
+
+@query("train_svm", sql(COMPLETE, final=BETWEEN))
+def train_svm(spark, sf):
+    """The radial kernel machine with its default settings."""
+    return _middle(spark, sf, "svm")
+
+
 SEGMENT = " ".join(f"when '{s}' then {i}" for i, s in enumerate(SEGMENTS))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.functions.keys import hash_key
-from tabloop.plans import boosting
+from tabloop.plans import adaboost, boosting, kernels
 from tabloop.storage import small_table
 
 # fixed values: boosted trees of the reference settings
@@ -34,6 +34,9 @@ BOOSTING = {"maxIter": 200, "maxDepth": 7}
 HIDDEN_LAYER = 100
 BOOSTED = ("xgb", "lightgbm", "gbt")
 SOFTMAX = {"maxIter": "rounds", "maxDepth": "depth", "stepSize": "rate", "maxBins": "bins"}  # names in boosting.fit
+OWN_MODELS = {"ada_boost": adaboost, "svm": kernels}  # fitted and scored by modules of this package
+KINDS = {boosting.Boosted: boosting, adaboost.Ada: adaboost, kernels.Kernel: kernels}
+Model = PipelineModel | boosting.Boosted | adaboost.Ada | kernels.Kernel
 KNN_NEIGHBOURS = 20  # used by neighbours.knn_vote, the "knn" choice
 
 
@@ -54,9 +57,11 @@ def make_estimator(name: str, classes: int = 2, inputs: int | None = None, label
             raise ValueError("mlp needs the number of inputs")
         layers = [inputs, HIDDEN_LAYER, classes]
         return MultilayerPerceptronClassifier(**{"layers": layers, "seed": 1242, **params}, **common)
-    if name == "svm":
+    if name == "linear_svm":
         linear = LinearSVC(**params, **common)
         return linear if classes <= 2 else OneVsRest(classifier=linear, **common)
+    if name in OWN_MODELS:
+        raise ValueError(f"{name} is no estimator of Spark ML; use fit")
     if name == "knn":
         raise ValueError("knn has no fit step; use operators.neighbours.knn_vote")
     raise ValueError(f"unknown model: {name}")
@@ -68,8 +73,10 @@ def pipeline(features: Sequence[str], estimator) -> Pipeline:
 
 def fit(
     df: DataFrame, features: Sequence[str], name: str = "xgb", label: str = "label", classes: int = 2, **params
-) -> PipelineModel | boosting.Boosted:
+) -> Model:
     """Fit a model on coded, scaled rows with an integer label; boosting of more than two classes is softmax boosting."""
+    if name in OWN_MODELS:
+        return OWN_MODELS[name].fit(df, features, label, classes, **params)
     if name in BOOSTED and classes > 2:
         given = {SOFTMAX.get(k, k): v for k, v in params.items()}
         return boosting.fit(df, features, label, classes, **given)
@@ -77,13 +84,13 @@ def fit(
     return pipeline(features, make_estimator(name, classes, len(features), label, **params)).fit(rows)
 
 
-def score(model: PipelineModel | boosting.Boosted, df: DataFrame) -> DataFrame:
+def score(model: Model, df: DataFrame) -> DataFrame:
     """Add `label_model` (class code) and `prob`, the largest class probability.
 
     Models without probabilities get the logistic of their margins, normalised over the classes.
     """
-    if isinstance(model, boosting.Boosted):
-        return boosting.score(model, df)
+    if type(model) in KINDS:
+        return KINDS[type(model)].score(model, df)
     out = model.transform(df)
     if "probability" in out.columns:
         chances = vector_to_array("probability")

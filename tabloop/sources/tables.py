@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloop.config import ProblemConfig
-from tabloop.plans import boosting
+from tabloop.plans.training import KINDS, Model
 from tabloop.storage import small_table
 
 
@@ -88,22 +88,23 @@ def log_run(
     run_rows(spark, run_id, experiment, params, metrics).coalesce(1).write.mode("append").parquet(path)
 
 
-def save_model(model: PipelineModel | boosting.Boosted, schema: T.StructType, path: str) -> None:
+def save_model(model: Model, schema: T.StructType, path: str) -> None:
     """Fitted model with its input schema and kind beside it."""
     spark = SparkSession.getActiveSession()
-    boosted = isinstance(model, boosting.Boosted)
-    if boosted:
-        boosting.save(model, spark, f"{path}/model")
+    if type(model) in KINDS:
+        KINDS[type(model)].save(model, spark, f"{path}/model")
     else:
         model.write().overwrite().save(f"{path}/model")
-    small_table(spark, [("boosted" if boosted else "pipeline",)], "value string").write.mode("overwrite").text(f"{path}/kind")
+    small_table(spark, [(type(model).__name__,)], "value string").write.mode("overwrite").text(f"{path}/kind")
     small_table(spark, [(schema.json(),)], "value string").write.mode("overwrite").text(f"{path}/schema")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel | boosting.Boosted, T.StructType]:
+def load_model(spark: SparkSession, path: str) -> tuple[Model, T.StructType]:
     schema = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/schema").first().value))
-    if spark.read.text(f"{path}/kind").first().value == "boosted":
-        return boosting.load(spark, f"{path}/model"), schema
+    own = {kind.__name__: module for kind, module in KINDS.items()}
+    kind = spark.read.text(f"{path}/kind").first().value
+    if kind in own:
+        return own[kind].load(spark, f"{path}/model"), schema
     return PipelineModel.load(f"{path}/model"), schema
 
 

@@ -11,7 +11,7 @@ from tabloop.plans.training import draw_trials, make_estimator
 from tabloop.sources import tables
 
 CFG = ProblemConfig("phase-1", "prob-1", categorical=("c",), numerical=("x",))
-SMALL = {"xgb": {"maxIter": 3, "maxDepth": 2}, "random_forest": {"numTrees": 3}, "mlp": {"maxIter": 5}, "svm": {"maxIter": 5}}
+SMALL = {"xgb": {"maxIter": 3, "maxDepth": 2}, "random_forest": {"numTrees": 3}, "mlp": {"maxIter": 5}, "svm": {"maxIter": 5}, "linear_svm": {"maxIter": 5}, "ada_boost": {"rounds": 3}}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def model(rows, fitted):
     return training.fit(ready, CFG.features, "decision_tree")
 
 
-@pytest.mark.parametrize("name", ["xgb", "random_forest", "decision_tree", "naive_bayes", "mlp", "svm"])
+@pytest.mark.parametrize("name", ["xgb", "random_forest", "decision_tree", "naive_bayes", "mlp", "svm", "linear_svm", "ada_boost"])
 @pytest.mark.parametrize("classes", [2, 3])
 def test_every_model_scores_with_confidence(rows, name, classes):
     ready = rows.withColumn("c", F.when(F.col("c") == "a", 0.0).otherwise(1.0))
