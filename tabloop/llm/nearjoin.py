@@ -498,7 +498,7 @@ def _shared(tokens: DataFrame) -> DataFrame:
 def hash_arrays(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """Sorted hashes of the nodes that take part in a pair, made again from their texts."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ids = settle(rows.join(wanted, F.col("row") == F.col("node")).select("doc_id", "node", "digest"), "wanted")
+    ids = settle(rows.join(wanted, F.col("row") == F.col("node")).select("doc_id", "h", "node", "digest"), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _pieces(batches, 2, words):
@@ -511,6 +511,7 @@ def hash_arrays(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int)
             yield made.filter(pa.array(same, pa.bool_()))
 
     named = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    ids = ids.select(named.alias("key"), "node", "digest")
-    with_text = docs.select(named.alias("key"), "text").join(F.broadcast(ids) if fits_broadcast(ids) else ids, "key")
+    ids = ids.select(named.alias("key"), "h", "node", "digest")
+    texts = docs.select(named.alias("key"), F.xxhash64("text").alias("h"), "text")  # an identifier may have many texts
+    with_text = texts.join(F.broadcast(ids) if fits_broadcast(ids) else ids, ["key", "h"])
     return with_text.select("node", "digest", "text").mapInArrow(run, "node bigint, hashes binary").dropDuplicates(["node"])

@@ -7,7 +7,8 @@ full length. Each task writes files of its own name into the shared folder and r
 written as a table, so files of lost or repeated tasks are never read.
 
 Null payloads are empty payloads. Rows with the smallest identifier are responses even when it repeats; a null
-identifier never is the smallest and is written as `none`. A null or blank url is written as `about:blank`, control
+identifier never is the smallest, is written as a lone percent sign, which no percent-encoded identifier is, and read
+back as null. A null or blank url is written as `about:blank`, control
 characters and spaces in it are percent-encoded. Extra columns are ignored. An empty table gives no files.
 """
 
@@ -19,6 +20,7 @@ import io
 import sys
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyarrow import fs
@@ -36,6 +38,7 @@ FILE_BYTES = 256 * 1024 * 1024  # a file is closed beyond this size
 MIN_REVISIT_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+NAMELESS = "%"  # in place of a null identifier; no encoded identifier is a lone percent sign
 SLICE_ROWS = 64  # rows turned into Python values at a time
 HEAD_BYTES = 1024 * 1024  # longest head of a record that the reader takes
 
@@ -98,8 +101,8 @@ def write(
     body = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b""))
     last = F.when(F.col("refers_to").isNull(), F.greatest(F.ceil(size / chunk_bytes) - 1, F.lit(0))).otherwise(F.lit(0))
     chunks = rows.select(
-        F.coalesce(F.col("record_id").cast("string"), F.lit("none")).alias("record_id"),
-        F.col("refers_to").cast("string").alias("refers_to"),
+        F.coalesce(F.url_encode(F.col("record_id").cast("string")), F.lit(NAMELESS)).alias("record_id"),
+        F.url_encode(F.col("refers_to").cast("string")).alias("refers_to"),
         "url",
         "sha1",
         size.cast("bigint").alias("payload_bytes"),
@@ -253,7 +256,8 @@ def read(files: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) -> DataF
                     raise ValueError(f"no record end at byte {source.tell()} of {path}")
 
     def urn(field: str | None) -> str | None:
-        return field.removeprefix("<urn:record:").removesuffix(">") if field else None
+        name = field.removeprefix("<urn:record:").removesuffix(">") if field else NAMELESS
+        return None if name == NAMELESS else unquote_plus(name)
 
     tasks = max(1, files.count())
     return files.select("path").repartition(tasks).mapInArrow(run, CHUNKS)

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabloop.llm import nearjoin, queries
 
@@ -85,3 +86,16 @@ def test_empty_table_and_long_text(spark):
     rows = [(1, text), (2, text + " end"), (3, "short")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert [(a, c) for a, _, c in found(nearjoin.near_components(df))] == [(1, 1), (2, 1), (3, 3)]
+
+
+def test_one_identifier_with_thousands_of_texts(spark):
+    """Texts of an identifier are told apart before they are joined, so the join makes a row per text."""
+    rows = [(7, f"a{i // 2} b{i // 2} c{i // 2} d e f g h i j k l m n o p q r s t u v w x y z {'end' * (i % 2)}") for i in range(2000)]
+    rows += [(None, t) for _, t in rows[:100]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    made = nearjoin.hash_arrays(
+        df, df.select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), F.lit(b"").alias("digest")),
+        spark.createDataFrame([(0, 1)], "a bigint, b bigint"), 3,
+    )
+    assert made.count() == 0  # no digest agrees
+    assert found(nearjoin.near_components(df)) == brute(rows)

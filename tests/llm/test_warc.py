@@ -70,3 +70,27 @@ def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "page_id bigint, url string, html string")
     files = warc.write(df, folder=str(tmp_path / "o"))
     assert warc.read(files, str(tmp_path / "o")).collect() == []
+
+
+def test_query_with_null_and_repeated_identifiers(spark, tmp_path):
+    rows = [(None, "one"), (None, "two"), (3, "one"), (4, "one"), (4, "three"), (4, "three"), (None, None), (9, "")]
+    spark.createDataFrame([(i, "http://a/", h) for i, h in rows], "page_id bigint, url string, html string").write.parquet(
+        str(tmp_path / "pages.parquet")
+    )
+    out = queries.QUERIES["op5_warc_chunks"](spark, str(tmp_path)).collect()
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out]
+    assert sorted(got, key=repr) == expected(rows) and all(r.intact for r in out)
+
+
+def test_text_identifiers_come_back(spark, tmp_path):
+    names = ["none", "%", "", "a b", "<x>", "é\r\n", "a+b", None]
+    df = spark.createDataFrame([(n, f"page {i % 3}") for i, n in enumerate(names)], "page_id string, html string")
+    files = warc.write(df.withColumn("url", F.lit("http://a/")), folder=str(tmp_path / "out"))
+    last = warc.read(files, str(tmp_path / "out")).where("is_last").collect()
+    assert sorted(map(repr, (r.record_id for r in last))) == sorted(map(repr, names))
+    first = {}
+    for i, n in enumerate(names):
+        if n is not None:
+            first[i % 3] = min(n, first.get(i % 3, n))
+    want = {(n, None if n == first[i % 3] else first[i % 3]) for i, n in enumerate(names)}
+    assert {(r.record_id, r.refers_to) for r in last} == want
