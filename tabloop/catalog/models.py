@@ -346,9 +346,9 @@ def train_woe_boosting(spark, sf):
 
 @query("propagate_kmeans")
 def propagate_kmeans(spark, sf):
-    """Vectors relabelled by k-means clusters of all labelled vectors."""
+    """Vectors relabelled by 500 mini-batch clusters of all labelled vectors."""
     rows = wide_vectors(spark, sf)
-    out = relabel.propagate(rows, rows.drop("label"), V, k=20)
+    out = relabel.propagate(rows, rows.drop("label"), V)
     return out.select("row_id", "label_model", "prob")
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.functions.numbers import flip
+from tabloop.operators import minibatch
 from tabloop.operators.columns import append, by_confidence, distinct_rows
 from tabloop.operators.neighbours import nearest_centroid
 from tabloop.operators.ordering import cut_n
@@ -189,13 +188,11 @@ def propagate_given(
     return propagate_assigned(nearest_centroid(captured, centroids, cols), votes, "cluster", label)
 
 
-def fit_centroids(df: DataFrame, cols: Sequence[str], k: int = 500, seed: int = 1242, max_iter: int = 20) -> DataFrame:
-    """(cluster, <cols>): centres of a k-means fit; `cols` are number columns or one array column."""
+def fit_centroids(df: DataFrame, cols: Sequence[str], k: int = minibatch.CLUSTERS, seed: int = 1242) -> DataFrame:
+    """(cluster, <cols>): centres of a mini-batch k-means fit; `cols` are number columns or one array column."""
     one_array = len(cols) == 1 and df.schema[cols[0]].dataType.typeName() == "array"
     vec = F.col(cols[0]).cast("array<double>") if one_array else F.array(*[F.col(c).cast("double") for c in cols])
-    points = df.select(array_to_vector(vec).alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(points)
-    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    centres = minibatch.fit(df, vec, k, seed).tolist()
     if one_array:
         rows, kinds = [(i, c) for i, c in enumerate(centres)], f"cluster int, {cols[0]} array<double>"
     else:
@@ -207,7 +204,7 @@ def propagate(
     labelled: DataFrame,
     captured: DataFrame,
     cols: Sequence[str],
-    k: int = 500,
+    k: int = minibatch.CLUSTERS,
     keep_first: int = 0,
     label: str = "label",
     seed: int = 1242,
