@@ -7,11 +7,15 @@ line stays does not matter, so the first of a group of alike lines always stays.
 
 1. Equal lines are grouped by hash; only the first of each group goes on.
 2. Tokens are ordered by rarity: those whose hash bucket is used far more than the mean come last, then by hash.
-   Alike lines share one of their first n - ceil(t n) + 1 tokens. Rows of tokens that one line alone has are dropped.
-3. Lines of a token group are in order of position. Each line is first compared with the group's first line and the
-   one just before it, with length and positional filters; most copies end here. What is left is joined with all
-   earlier lines of its token groups; a pair goes on if its number of common first tokens leaves room for the overlap.
-4. Pairs are verified on the token sets, made again from the texts of just those lines.
+   Alike lines share one of their first n - ceil(t n) + 1 tokens. Lines that share none of theirs end here.
+3. For what is left, the token sets are made from the texts and ordered anew by exact use among these lines. A line
+   that shares fewer than ceil(t n) of its tokens ends here too, such as one that repeats a passage within a text of
+   its own; tokens that one line alone has come first in the order and need no row.
+4. Lines of a token group are in order of position. Each line is first compared with the group's first line and the
+   one just before it, with length and positional filters; most copies end here. What is left is joined with the
+   earlier lines of its token groups that pass these filters; a pair goes on if its number of common first tokens
+   leaves room for the overlap.
+5. Pairs are verified on the token sets.
 
 No list of a group's lines is ever gathered. Null texts have no lines. Rows with one identifier and text are one
 document; all of them get the same result. A null identifier comes first. Repeated identifiers with different texts
@@ -23,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloop.operators.skew import fits_broadcast, lookup_join
+from tabloop.operators.skew import HOT_ROWS, fits_broadcast, lookup_join
 from tabloop.storage import release_shuffles, settle
 
 BLANK = r"[\x20\x09-\x0D]+"
@@ -104,14 +108,15 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, words
             rows = rows.unionByName(more)
 
     group = Window.partitionBy("token")
-    shared = rows.select("token", F.col("k1").alias("id"), "n", "at").withColumn("least", F.min("id").over(group))
-    shared = shared.withColumn("most", F.max("id").over(group)).where("least <> most").drop("least", "most")
-    shared = settle(shared, "shared")
-    release_shuffles(docs.sparkSession)  # all lines' first tokens were dealt out for the shared ones alone
+    shared = rows.select("token", F.col("k1").alias("id")).withColumn("least", F.min("id").over(group))
+    shared = shared.withColumn("most", F.max("id").over(group)).where("least <> most")
     ids = settle(shared.select(F.col("id").alias("k1")).distinct(), "ids")
+    release_shuffles(docs.sparkSession)  # all lines' first tokens were dealt out for these identifiers alone
     places = lookup_join(alone.select("k1", "doc_id", "h", "line_no"), ids, ["k1"], "inner")
     places = settle(places.groupBy(F.col("k1").alias("id")).agg(F.min(_place()).alias("place")), "places")
-    live = settle(shared.join(places, "id"), "live")
+    sets = settle(token_sets(docs, ids, words), "sets")
+    live = settle(firsts_by_use(sets, threshold).join(places, "id"), "live")
+    release_shuffles(docs.sparkSession)
 
     earlier = Window.partitionBy("token").orderBy("place", "id")
     here = F.struct("id", "n", "at")
@@ -120,26 +125,40 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, words
     tried = tried.select("id", "n", "at", F.col("y.id").alias("other"), F.col("y.n").alias("m"), F.col("y.at").alias("bt"))
     tried = tried.where(F.col("other").isNotNull() & (F.col("other") != F.col("id")) & _fits(threshold))
     tried = settle(tried.select("id", "other").distinct(), "pairs")
-    sets = settle(token_sets(docs, settle(_ends(tried), "ends"), words), "sets")
     found = settle(_alike(tried, sets, threshold), "matches")
     release_shuffles(docs.sparkSession)
 
-    left = live.join(found.select("id").distinct(), "id", "left_anti").select("token", "id", "n", "place")
-    later = live.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("place").alias("before"))
-    both = left.join(later, "token").where((F.col("before") < F.col("place")) & (F.col("other") != F.col("id")))
-    both = both.where(whole * F.least("n", "m") >= part * F.greatest("n", "m"))
+    left = live.join(found.select("id").distinct(), "id", "left_anti").select("token", "id", "n", "at", "place")
+    later = live.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("at").alias("bt"), F.col("place").alias("before"))
+    both = left.join(later, "token").where((F.col("before") < F.col("place")) & (F.col("other") != F.col("id")) & _fits(threshold))
     shared_firsts = both.groupBy("id", "other", "n", "m").agg(F.count(F.lit(1)).alias("c")).where(_enough(threshold))
     rest = settle(shared_firsts.select("id", "other").join(tried, ["id", "other"], "left_anti"), "pairs")
     release_shuffles(docs.sparkSession)
     if rest.limit(1).count():
-        new = _ends(rest).join(sets.select(F.col("id").alias("k1")), "k1", "left_anti")
-        sets = sets.unionByName(settle(token_sets(docs, settle(new, "ends"), words), "sets"))
         found = found.unionByName(_alike(rest, sets, threshold))
     gone = settle(found.select("id").distinct(), "gone")
     firsts = lookup_join(alone.select("doc_id", "h", "line_no", "k1"), gone.withColumnRenamed("id", "k1"), ["k1"], "inner")
     return copies.unionByName(firsts.select("doc_id", "h", "line_no"))
 
 
+def firsts_by_use(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(token, id, n, at): the first tokens of each line of `sets` by rarity, with their places in the line's order.
+
+    Tokens are ordered by the number of these lines that hold them, then by hash. Tokens of one line come first in it
+    and give no row; a line that shares fewer tokens than a partner must have gives none at all.
+    """
+    part, whole = threshold
+    tokens = sets.select("id", F.size("t").alias("n"), F.explode("t").alias("token"))
+    use = settle(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "use")
+    hot = use.where(F.col("c") > HOT_ROWS).limit(1).count()
+    marked = lookup_join(tokens, use, ["token"], "inner") if hot else tokens.join(use, "token")
+    lists = marked.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("s"))
+    lists = lists.where(whole * F.size("s") >= part * F.col("n")).withColumn("alone", F.col("n") - F.size("s"))
+    firsts = F.slice("s", F.lit(1), first_size(F.col("n"), threshold) - F.col("alone"))
+    rows = lists.select("id", "n", "alone", F.posexplode(firsts).alias("i", "x"))
+    return rows.select(F.col("x.token").alias("token"), "id", "n", (F.col("i") + F.col("alone")).alias("at"))
+
+
 def _fits(threshold: tuple[int, int]) -> Column:
     """Length filter, and the positional bound on the overlap when this token is at `at` and `bt`."""
     part, whole = threshold
@@ -160,10 +179,6 @@ def _enough(threshold: tuple[int, int]) -> Column:
     return (whole + part) * most >= part * (n + m)
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("id").alias("k1")).union(pairs.select("other")).distinct()
-
-
 def token_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(id, t): token sets of the lines whose hash is in `wanted` (k1), from the texts."""
     lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), "line")

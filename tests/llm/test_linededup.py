@@ -105,3 +105,26 @@ def test_query_reports_the_lines_of_a_null_identifier(spark, monkeypatch):
     monkeypatch.setattr(queries, "table", lambda *_: df)
     out = queries.QUERIES["op8_line_dedup"](spark, "").collect()
     assert {r.doc_id: (r.n_lines, list(r.removed)) for r in out} == {None: (3, [2]), 1: (2, [0])}
+
+
+def test_lines_that_share_a_passage_only_make_no_pairs(spark, monkeypatch):
+    draw = random.Random(7)
+    passage = [f"p{i}" for i in range(60)]
+    own = [[f"o{draw.randrange(10**6)}" for _ in range(50)] for _ in range(200)]
+    rows = [(i, " ".join(w[:25] + passage + w[25:])) for i, w in enumerate(own)]
+    rows.append((900, " ".join(own[3][:25] + passage + own[3][25:49] + ["new"])))
+    written = {}
+    settle = linededup.settle
+    monkeypatch.setattr(linededup, "settle", lambda df, name: written.setdefault(name, []).append(settle(df, name)) or written[name][-1])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.key: list(r.removed) for r in linededup.removals(df).collect()}
+    assert out == {900: [0]} == {i: v for i, v in brute(rows).items() if v}
+    assert written["ids"][0].count() > 150  # they share a first token by hash
+    assert sum(p.count() for p in written["pairs"]) == 1
+
+
+def test_hot_tokens_take_the_balanced_join(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "HOT_ROWS", 2)
+    rows = corpus(3)
+    out = {r.key: list(r.removed) for r in linededup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {i: v for i, v in brute(rows).items() if v}
