@@ -124,6 +124,24 @@ def cluster_sparsity(n: int, variance_sum: float) -> float:
     return spread ** (math.log(n, 1.6) ** 1.8 * 0.16) / n
 
 
+def cluster_shares(clusters: Mapping[object, tuple[int, float]]) -> dict[object, float]:
+    """Share of each cluster (rows, sum of variances) in the weights, even if all are 0.
+
+    Weights of large clusters exceed what a double holds, so their logarithms are taken relative to the largest.
+    """
+    logs = {}
+    for c, (n, variance_sum) in clusters.items():
+        power = math.log(n, 1.6) ** 1.8 * 0.16
+        spread = 0.5 * math.log(2.0 * variance_sum) if variance_sum > 0 else -math.inf
+        logs[c] = (power * spread if power else 0.0) - math.log(n)
+    most = max(logs.values())
+    if most == -math.inf:
+        return {c: 1 / len(logs) for c in logs}
+    weights = {c: math.exp(x - most) for c, x in logs.items()}
+    total = sum(weights.values())
+    return {c: w / total for c, w in weights.items()}
+
+
 def cluster_smote(
     df: DataFrame,
     cluster: str,
@@ -152,9 +170,8 @@ def cluster_smote(
     rich = [r for r in stats if r.m / r.n >= balance_threshold and r.m > k]
     if not rich:
         raise ValueError("no cluster is rich enough in the smallest class")
-    weights = {r[cluster]: cluster_sparsity(r.m, r.spread) for r in rich}
-    total = sum(weights.values())
-    wanted = {c: math.ceil(round(missing * (w / total if total else 1 / len(rich)), 9)) for c, w in weights.items()}
+    shares = cluster_shares({r[cluster]: (r.m, r.spread) for r in rich})
+    wanted = {c: math.ceil(round(missing * share, 9)) for c, share in shares.items()}
     sizes = {r[cluster]: r.m for r in rich}
     made = _synthesise(df.where(member), cluster, wanted, sizes, cols, k, seed, row_id, leaf_rows)
     return _with_originals(df, made, cols, label, row_id)

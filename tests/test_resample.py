@@ -131,6 +131,17 @@ def classes(spark):
     return spark.createDataFrame(rows, "row_id long, x double, code double, label string"), rows
 
 
+def test_large_clusters_share_new_rows_out(spark):
+    """Weights of large, wide clusters lie beyond doubles; their shares do not."""
+    assert resample.cluster_shares({"a": (500_000, 1e10), "b": (500_000, 1e10)}) == {"a": 0.5, "b": 0.5}
+    shares = resample.cluster_shares({"a": (5_000_000, 1e10), "b": (100, 1e10)})
+    assert shares["a"] == 1.0 and 0 <= shares["b"] < 1e-9
+    small = {"a": (40, 3.0), "b": (25, 9.0), "c": (7, 0.0)}
+    weights = {g: resample.cluster_sparsity(*x) for g, x in small.items()}
+    assert resample.cluster_shares(small) == pytest.approx({g: w / sum(weights.values()) for g, w in weights.items()}, rel=1e-12)
+    assert resample.cluster_shares({"a": (9, 0.0), "b": (7, 0.0)}) == {"a": 0.5, "b": 0.5}
+
+
 def test_smote_reaches_the_targets(classes):
     df, rows = classes
     raised = resample.smote(df, "label", ["x", "code"])
