@@ -1,10 +1,11 @@
 """Softmax boosting: one regression tree per class and round, grown on histograms of gradients.
 
 Values become bins once: bounds are quantiles of each column, a missing value has a bin of its own below all others. A
-level of all trees of a round is one pass over the rows. A task places its rows in the nodes so far, adds gradients
+level of all trees of a round is one pass over the rows. Rows alike in bins, label and part are one row with their
+number, so a table of few columns has a bounded number of them. A task places its rows in the nodes so far, adds gradients
 and hessians up by (class, node, column, bin) and gives only these sums away; they are summed by one shuffle and the
-best split of each node is chosen from them. The sums come to the driver: their number follows the settings (classes,
-nodes of a level, columns, bins; at most MAX_CELLS), not the rows.
+best split of each node is chosen from them. Up to DRIVER_CELLS sums of a level come to the driver; of more, Spark
+chooses the splits and only these come. Sums of the children follow from the split, so the last level needs no pass.
 
 Gradients are rounded to whole multiples of 1 / UNIT, so sums are exact whatever the order of tasks, and a task that
 runs again gives the same tree. Margins are written every SETTLE_ROUNDS rounds and otherwise follow from the trees
@@ -36,11 +37,14 @@ ROUNDS, DEPTH, RATE, L1, L2, LEAST_HESSIAN = 200, 7, 0.3, 0.0, 1.0, 1.0
 BINS = 64
 UNIT = float(2**24)
 MAX_CELLS = 2**23
+DRIVER_CELLS = 2**14
 SETTLE_ROUNDS = 20
 TASK_ROWS = 20_000
 LEAST_GAIN = 1e-6
 NODES = "round int, class int, node int, column int, bin int, cut double, value double"
 CELLS = "class int, node int, cell int, g bigint, h bigint"
+CHOICES = "class int, node int, gain double, column int, bin int, g bigint, h bigint, left_g bigint, left_h bigint"
+CHOICE_KINDS = pa.schema([(n, {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}[k]) for n, k in (x.split() for x in CHOICES.split(", "))])
 
 
 @dataclass
@@ -179,11 +183,14 @@ def _sums(rows: DataFrame, done: list[list[Tree]], growing: list[Tree], open_nod
             if not batch.num_rows:
                 continue
             bins, label, held = _matrix(batch.column(0), np.int64), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
+            copies = batch.column(4).to_numpy()
             g, h, loss = gradients(margins_of(bins, _matrix(batch.column(3), np.float64), done), label)
+            g, h, loss = g * copies[:, None], h * copies[:, None], loss * copies
+            exact = float(copies.sum()) * UNIT < 2**53  # then sums in doubles are whole numbers
             if first_level:
                 for part in (0, 1):
                     own = held == bool(part)
-                    losses[part] = losses.get(part, np.zeros(2, np.int64)) + [loss[own].sum(), own.sum()]
+                    losses[part] = losses.get(part, np.zeros(2, np.int64)) + [loss[own].sum(), copies[own].sum()]
             bins, g, h = bins[~held], g[~held], h[~held]
             cells = bins + np.arange(bins.shape[1]) * width
             for k, tree in enumerate(growing):
@@ -192,8 +199,12 @@ def _sums(rows: DataFrame, done: list[list[Tree]], growing: list[Tree], open_nod
                     own = node == n
                     at = cells[own].ravel()
                     both = sums.setdefault((k, n), np.zeros((2, bins.shape[1] * width), np.int64))
-                    for i, x in enumerate((g, h)):  # a batch's sums are whole numbers below 2^53
-                        both[i] += np.bincount(at, np.repeat(x[own, k], bins.shape[1]), both.shape[1]).astype(np.int64)
+                    for i, x in enumerate((g, h)):
+                        each = np.repeat(x[own, k], bins.shape[1])
+                        if exact:
+                            both[i] += np.bincount(at, each, both.shape[1]).astype(np.int64)
+                        else:
+                            np.add.at(both[i], at, each)
         columns: list[list] = [[], [], [], [], []]
         for (k, n), (g, h) in sums.items():
             some = np.flatnonzero((g != 0) | (h != 0))
@@ -206,8 +217,39 @@ def _sums(rows: DataFrame, done: list[list[Tree]], growing: list[Tree], open_nod
         arrays = [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, kinds)]
         yield pa.RecordBatch.from_arrays(arrays, names=["class", "node", "cell", "g", "h"])
 
-    partial = rows.select("bins", "label", "held", "margins").mapInArrow(run, CELLS)
-    return partial.groupBy("class", "node", "cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    return rows.select("bins", "label", "held", "margins", "copies").mapInArrow(run, CELLS)
+
+
+def _whole(partial: DataFrame) -> DataFrame:
+    return partial.groupBy("class", "node", "cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+
+
+def _choices(partial: DataFrame, width: int, l1: float, l2: float, least_hessian: float) -> DataFrame:
+    """CHOICES: the best split of each node as `best_split` finds it; losses (class -1) as they are, in g and h."""
+
+    def choose(nodes: pa.Table) -> pa.Table:
+        g, h = nodes["g"].to_numpy(), nodes["h"].to_numpy()
+        row = {"class": nodes["class"][0].as_py(), "node": nodes["node"][0].as_py()}
+        cell = nodes["cell"].to_numpy()
+        size = (int(cell.max()) // width + 1) * width
+        sums = [np.bincount([], minlength=size).astype(np.int64) for _ in range(2)]
+        for total, x in zip(sums, (g, h)):
+            np.add.at(total, cell, x)
+        if row["class"] < 0:
+            found = (0.0, 0, 0, int(sums[0][0]), int(sums[1][0]), 0, 0)
+        else:
+            found = _split_and_sums(*(x.reshape(-1, width) for x in sums), l1, l2, least_hessian)
+        names = ("gain", "column", "bin", "g", "h", "left_g", "left_h")
+        return pa.Table.from_pylist([row | dict(zip(names, found))], schema=CHOICE_KINDS)
+
+    return partial.groupBy("class", "node").applyInArrow(choose, CHOICES)
+
+
+def _split_and_sums(g: np.ndarray, h: np.ndarray, l1: float, l2: float, least_hessian: float) -> tuple:
+    """(gain, column, bin, sums of the node, sums of its left child)."""
+    gain, column, bound = best_split(g, h, l1, l2, least_hessian)
+    left = (int(x[column, : bound + 1].sum()) for x in (g, h))
+    return gain, column, bound, int(g[0].sum()), int(h[0].sum()), *left
 
 
 def _advance(rows: DataFrame, done: list[list[Tree]]) -> DataFrame:
@@ -222,7 +264,7 @@ def _advance(rows: DataFrame, done: list[list[Tree]]) -> DataFrame:
             margins = _matrix(batch.column(3), np.float64)
             if len(margins):
                 margins = margins_of(_matrix(batch.column(0), np.int64), margins, done)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(list(margins), arrow.field(3).type)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(list(margins), arrow.field(3).type), batch.column(4)], schema=arrow)
 
     return settle(rows.mapInArrow(run, schema), "margins")
 
@@ -250,7 +292,7 @@ def fit(
     known = settle(known, "labelled")
     ends = known.where(~F.col("held")).select(*(F.col("x")[i].alias(f"x{i}") for i in range(len(features))))
     cuts = fit_cuts(ends, [f"x{i}" for i in range(len(features))], bins)
-    least, most, count = known.agg(F.min("label"), F.max("label"), F.count(F.lit(1))).first()
+    least, most = known.agg(F.min("label"), F.max("label")).first()
     if least is not None and not 0 <= least <= most < classes:
         raise ValueError(f"labels from {least} to {most} for {classes} classes")
 
@@ -258,20 +300,25 @@ def fit(
         for batch in batches:
             x = _matrix(batch.column(2), np.float64) if batch.num_rows else np.zeros((0, len(cuts)))
             columns = [pa.array(list(binned(x, cuts)), pa.list_(pa.int32())), batch.column(0), batch.column(1)]
-            columns.append(pa.array([[0.0] * classes] * len(x), pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["bins", "label", "held", "margins"])
-
-    known = known.coalesce(max(1, -(-count // TASK_ROWS)))  # no more tasks a level than they are worth
-    rows = settle(known.mapInArrow(coded, "bins array<int>, label int, held boolean, margins array<double>"), "bins")
+            yield pa.RecordBatch.from_arrays(columns, names=["bins", "label", "held"])
+
+    placed = known.mapInArrow(coded, "bins array<int>, label int, held boolean")
+    alike = settle(placed.groupBy("bins", "label", "held").agg(F.count(F.lit(1)).alias("copies")), "alike")
+    count = alike.count()
+    start = F.array(*(F.lit(0.0) for _ in range(classes))).alias("margins")
+    tasks = max(1, -(-count // TASK_ROWS))  # no more tasks a level than they are worth
+    rows = settle(alike.select("bins", "label", "held", start, "copies").repartition(tasks), "bins")
     model, since, best = Boosted(classes, features, cuts, [], []), [], (np.inf, -1)
     for number in range(rounds + 1):
         trees = [Tree() for _ in range(classes)]
         open_nodes = [[1] for _ in range(classes)]
-        for level in range(depth + 1):
+        for level in range(max(depth, 1)):
             if not any(open_nodes):
                 break
-            table = _sums(rows, since, trees, open_nodes, classes, width)
-            found = {c: table.column(c).to_numpy() for c in ("class", "node", "cell", "g", "h")}
+            partial = _sums(rows, since, trees, open_nodes, classes, width)
+            few = sum(map(len, open_nodes)) * len(features) * width <= DRIVER_CELLS
+            table = (_whole(partial) if few else _choices(partial, width, l1, l2, least_hessian)).toArrow()
+            found = {c: table.column(c).to_numpy() for c in table.column_names}
             if level == 0:
                 for part, name in enumerate(("train", "held")):
                     own = (found["class"] == -1) & (found["node"] == part) & (found["h"] > 0)
@@ -284,15 +331,24 @@ def fit(
                 fresh = []
                 for n in open_nodes[k]:
                     own = (found["class"] == k) & (found["node"] == n)
-                    g, h = np.zeros(len(features) * width, np.int64), np.zeros(len(features) * width, np.int64)
-                    g[found["cell"][own]], h[found["cell"][own]] = found["g"][own], found["h"][own]
-                    g, h = g.reshape(-1, width), h.reshape(-1, width)
-                    gain, column, bound = best_split(g, h, l1, l2, least_hessian) if level < depth else (-np.inf, 0, 0)
-                    if gain > LEAST_GAIN:
-                        tree.splits[n] = (column, bound)
-                        fresh += [2 * n, 2 * n + 1]
+                    if few:
+                        g, h = np.zeros(len(features) * width, np.int64), np.zeros(len(features) * width, np.int64)
+                        g[found["cell"][own]], h[found["cell"][own]] = found["g"][own], found["h"][own]
+                        chosen = _split_and_sums(g.reshape(-1, width), h.reshape(-1, width), l1, l2, least_hessian)
+                    elif own.any():
+                        chosen = tuple(found[c][own][0] for c in ("gain", "column", "bin", "g", "h", "left_g", "left_h"))
+                    else:
+                        chosen = (-np.inf, 0, 0, 0, 0, 0, 0)  # all sums are 0
+                    gain, column, bound, g, h, left_g, left_h = chosen
+                    if gain > LEAST_GAIN and level < depth:
+                        tree.splits[n] = (int(column), int(bound))
+                        sides = ((2 * n, int(left_g), int(left_h)), (2 * n + 1, int(g - left_g), int(h - left_h)))
+                        if level + 1 < depth:
+                            fresh += [side[0] for side in sides]
+                        else:
+                            tree.leaves |= {node: leaf(a, b, l1, l2, rate) for node, a, b in sides}
                     else:
-                        tree.leaves[n] = leaf(int(g[0].sum()), int(h[0].sum()), l1, l2, rate)
+                        tree.leaves[n] = leaf(int(g), int(h), l1, l2, rate)
                 open_nodes[k] = fresh
         held_loss = next((x for r, part, x in reversed(model.losses) if part == "held" and r == number), None)
         if held_loss is not None and held_loss < best[0]:

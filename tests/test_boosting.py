@@ -87,6 +87,21 @@ def test_equals_plain_numpy(spark, monkeypatch, more):
     assert train[0] == pytest.approx(math.log(3), abs=1e-6) and train == sorted(train, reverse=True) and len(train) == 4
 
 
+def test_splits_are_chosen_where_the_sums_are(spark, monkeypatch):
+    """Beyond the limit only chosen splits come to the driver; the trees stay as they are, also with copies of rows."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 5, (150, 3)).astype(float)
+    rows = [(*map(float, v), int(v.sum()) % 3) for v in x] * 3
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    by_driver = boosting.fit(df, ["a", "b", "c"], classes=3, rounds=3, depth=3)
+    monkeypatch.setattr(boosting, "DRIVER_CELLS", 0)
+    whole = []
+    monkeypatch.setattr(boosting, "_whole", lambda partial: whole.append(1) or partial)
+    by_tasks = boosting.fit(df, ["a", "b", "c"], classes=3, rounds=3, depth=3)
+    assert not whole and list(by_tasks.rows()) == list(by_driver.rows()) and by_tasks.losses == by_driver.losses
+    assert any(tree.splits for trees in by_tasks.rounds for tree in trees)
+
+
 def test_partitions_do_not_matter(spark):
     df = table(spark, *sample(400))
     one = boosting.fit(df.coalesce(1), FEATURES, classes=3, rounds=4, depth=4)
