@@ -1,7 +1,8 @@
 """Multi-class boosting by reweighting (SAMME): weighted trees, each on what the ones before got wrong.
 
 A round fits a Spark ML tree on the weights, and one aggregate gives its weighted error. The tree's weight is
-rate * (ln((1 - error) / error) + ln(classes - 1)); rows it gets wrong grow by the exponential of that. Weights are a
+rate * (ln((1 - error) / error) + ln(classes - 1)); rows it gets wrong grow by the exponential of that. Rows alike in
+features and label always weigh the same, so they are one row from the start, with their number as weight. Weights are a
 column of a written table, made anew each round from the one before, so a lost task repeats one round at most. A tree
 without error ends the fit and is kept alone with weight 1 if it is the first; a tree no better than chance ends it
 and is dropped.
@@ -44,9 +45,10 @@ def fit(
 ) -> Ada:
     """Trees and their weights for integer labels 0 to classes - 1."""
     known = df.where(F.col(label).isNotNull()).select(*features, F.col(label).cast("double").alias("_label"))
-    rows = settle(_assembled(known, features).select("_features", "_label", F.lit(1.0).alias("_weight")), "weights")
+    known = known.groupBy(*dict.fromkeys(features), "_label").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    rows = settle(_assembled(known, features).select("_features", "_label", "_weight"), "weights")
     model = Ada(classes, list(features), [], [])
-    total = rows.count()
+    total = rows.agg(F.sum("_weight")).first()[0]
     if not total:
         return model
     grower = DecisionTreeClassifier(

@@ -7,7 +7,7 @@ each machine the logistic curve from its margin to a probability (Platt), with t
 of landmarks is a setting and bounds all that comes to the driver; rows stay where they are.
 
 gamma "scale" is 1 / (columns * variance of all values). Missing values and NaN count as 0, the centre of scaled
-columns. Copies of a row are one landmark. Rows without a label are left out of the fit. Without rows of both kinds a
+columns. Copies of a row are one landmark, and one row of the fit that weighs as many. Rows without a label are left out of the fit. Without rows of both kinds a
 machine says what share of the rows is its class.
 """
 
@@ -104,12 +104,13 @@ def fit(
         for batch in batches:
             if batch.num_rows:
                 short = mapped(_matrix(batch.column(0), width), marks, half, gamma)
-                yield pa.RecordBatch.from_arrays([pa.array(list(short), pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["z", "y", "held"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(short), pa.list_(pa.float64())), *batch.columns[1:]], names=["z", "y", "held", "n"])
 
-    known = known.coalesce(max(1, -(-known.count() // TASK_ROWS)))  # no more tasks a step than they are worth
+    known = settle(known.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")), "alike")
+    known = known.repartition(max(1, -(-known.count() // TASK_ROWS)))  # no more tasks a step than they are worth
     held = F.pmod(F.xxhash64("x", F.lit("held"), F.lit(seed)), F.lit(100)) < HELD_SHARE
-    rows = known.select("x", "y", held.alias("held")).mapInArrow(run, "z array<double>, y int, held boolean")
-    rows = settle(rows.select(array_to_vector("z").alias("z"), "y", "held"), "mapped")
+    rows = known.select("x", "y", held.alias("held"), "n").mapInArrow(run, "z array<double>, y int, held boolean, n bigint")
+    rows = settle(rows.select(array_to_vector("z").alias("z"), "y", "held", F.col("n").cast("double").alias("n")), "mapped")
     machines, curves = [], []
     for k in [1] if classes == 2 else range(classes):
         own = rows.withColumn("t", (F.col("y") == k).cast("double"))
@@ -121,12 +122,12 @@ def fit(
 
 def _machine(rows: DataFrame, c: float, iterations: int, width: int) -> tuple[list[float], list[float]]:
     """(coefficients and constant, slope and constant of the curve) of one class against the rest."""
-    counts = {(r.held, r.t): r["count"] for r in rows.groupBy("held", "t").count().collect()}
+    counts = {(r.held, r.t): int(r.n) for r in rows.groupBy("held", "t").agg(F.sum("n").alias("n")).collect()}
     fitting, hits = counts.get((False, 0.0), 0) + counts.get((False, 1.0), 0), counts.get((False, 1.0), 0)
     share = (sum(n for (_, t), n in counts.items() if t) + 1) / (sum(counts.values()) + 2)
     if not 0 < hits < fitting:
         return [0.0] * (width + 1), [0.0, float(np.log(share / (1 - share)))]
-    learner = LinearSVC(featuresCol="z", labelCol="t", regParam=1 / (c * fitting), maxIter=iterations, standardization=False, rawPredictionCol="r", predictionCol="p")
+    learner = LinearSVC(featuresCol="z", labelCol="t", weightCol="n", regParam=1 / (c * fitting), maxIter=iterations, standardization=False, rawPredictionCol="r", predictionCol="p")
     found = learner.fit(rows.where("not held"))
     machine = [*found.coefficients.toArray().tolist(), float(found.intercept)]
     yes, no = counts.get((True, 1.0), 0), counts.get((True, 0.0), 0)
@@ -135,10 +136,10 @@ def _machine(rows: DataFrame, c: float, iterations: int, width: int) -> tuple[li
         yes, no = hits + yes, fitting - hits + no
     from pyspark.ml.functions import vector_to_array
 
-    margin = found.transform(rows.where(use)).select("t", vector_to_array("r")[1].alias("m"))
+    margin = found.transform(rows.where(use)).select("t", "n", vector_to_array("r")[1].alias("m"))
     target = F.when(F.col("t") == 1, (yes + 1) / (yes + 2)).otherwise(1 / (no + 2))
-    both = F.inline(F.array(F.struct(F.lit(1.0).alias("s"), F.col("g").alias("w")), F.struct(F.lit(0.0).alias("s"), (1 - F.col("g")).alias("w"))))
-    weighted = margin.select("m", target.alias("g")).select("m", both)
+    both = F.inline(F.array(F.struct(F.lit(1.0).alias("s"), (F.col("n") * F.col("g")).alias("w")), F.struct(F.lit(0.0).alias("s"), (F.col("n") * (1 - F.col("g"))).alias("w"))))
+    weighted = margin.select("m", "n", target.alias("g")).select("m", both)
     curve = LogisticRegression(featuresCol="f", labelCol="s", weightCol="w", maxIter=50).fit(weighted.select(array_to_vector(F.array("m")).alias("f"), "s", "w"))
     return machine, [float(curve.coefficients[0]), float(curve.intercept)]
 

@@ -113,3 +113,29 @@ def test_three_classes_missing_values_copies_and_one_class(spark):
     assert kernels.score(empty, df.limit(2)).where("prob = 0.5").count() == 2
     with pytest.raises(ValueError):
         kernels.fit(df, ["a", "b"], landmarks=0)
+
+
+def test_rows_alike_are_one_row_with_their_number(spark, monkeypatch):
+    """The rows of a fit are as many as there are different ones; weights and answers are those of all rows."""
+    rows = [(float(i % 4), int(i % 4 in (1, 2)) ^ int(i % 40 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, label int").repartition(5)
+    sizes = []
+
+    def settled(module):
+        kept = module.settle
+
+        def run(table, name):
+            out = kept(table, name)
+            sizes.append((name, out.count()))
+            return out
+
+        monkeypatch.setattr(module, "settle", run)
+
+    settled(adaboost)
+    ada = adaboost.fit(df, ["a"], rounds=3)
+    x, label = np.array([r[:1] for r in rows]), np.array([r[1] for r in rows])
+    assert ada.weights == pytest.approx(plain(x, label, 2, 3))
+    settled(kernels)
+    machine = kernels.fit(df, ["a"])
+    assert {n for name, n in sizes if name in ("weights", "alike", "mapped")} == {5}
+    assert {r.a: r.label_model for r in kernels.score(machine, df).select("a", "label_model").distinct().collect()} == {0.0: 0, 1.0: 1, 2.0: 1, 3.0: 0}
