@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -19,15 +19,15 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloop.functions.keys import hash_key
-from tabloop.plans import adaboost, boosting, kernels
-from tabloop.storage import small_table
+from tabloop.plans import adaboost, boosting, compact, kernels
+from tabloop.storage import settle, small_table
 
 # fixed values: boosted trees of the reference settings
 BOOSTING = {"maxIter": 200, "maxDepth": 7}
@@ -71,6 +71,34 @@ def pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator])
 
 
+def compacts(name: str, classes: int, params: Mapping[str, object]) -> bool:
+    """Whether a fit sees only bins and numbers of rows: trees that draw no rows and take no weights of their own."""
+    tree = name == "decision_tree" or (name in BOOSTED and classes <= 2)
+    own = params.keys() & {"weightCol", "validationIndicatorCol", "featuresCol"}
+    return tree and not own and params.get("subsamplingRate", 1.0) == 1.0
+
+
+def fit_alike(
+    stage: Bucketizer, alike: DataFrame, features: Sequence[str], name: str, classes: int, label: str, params: Mapping[str, object]
+) -> PipelineModel:
+    """A tree or boosted trees of the rows of `compact.alike`, with the step that bins raw rows before it.
+
+    Nodes have rows by their number: `minInstancesPerNode` is a share of the weights here.
+    """
+    given = dict(params)
+    least = given.pop("minInstancesPerNode", 1)
+    if least > 1:
+        total = alike.agg(F.sum(compact.COPIES)).first()[0] or 0.0
+        share = max(given.get("minWeightFractionPerNode", 0.0), (least - 0.5) / max(total, 1.0))
+        if share < 0.5:
+            given["minWeightFractionPerNode"] = share
+        else:
+            given["maxDepth"] = 0  # no two parts have so many rows
+    estimator = make_estimator(name, classes, len(features), label, weightCol=compact.COPIES, **given)
+    fitted = pipeline([compact.bin_name(c) for c in features], estimator).fit(alike)
+    return PipelineModel([stage, *fitted.stages])
+
+
 def fit(
     df: DataFrame, features: Sequence[str], name: str = "xgb", label: str = "label", classes: int = 2, **params
 ) -> Model:
@@ -81,6 +109,10 @@ def fit(
         given = {SOFTMAX.get(k, k): v for k, v in params.items()}
         return boosting.fit(df, features, label, classes, **given)
     rows = df.select(*features, F.col(label).cast("double").alias(label))
+    if compacts(name, classes, params):
+        rows = settle(rows, "labelled")
+        stage = compact.binner(features, compact.bounds(rows, features, params.get("maxBins", compact.BINS)))
+        return fit_alike(stage, compact.alike(rows, stage, label), features, name, classes, label, params)
     return pipeline(features, make_estimator(name, classes, len(features), label, **params)).fit(rows)
 
 
@@ -99,7 +131,8 @@ def score(model: Model, df: DataFrame) -> DataFrame:
         total = F.aggregate(margins, F.lit(0.0), lambda a, x: a + x)
         chances = F.transform(margins, lambda m: m / total)
     scored = out.withColumn("label_model", F.col("prediction").cast("int")).withColumn("prob", F.array_max(chances))
-    return scored.drop("features", "rawPrediction", "probability", "prediction")
+    bins = [c for stage in model.stages if isinstance(stage, Bucketizer) for c in stage.getOutputCols()]
+    return scored.drop("features", "rawPrediction", "probability", "prediction", *bins)
 
 
 def score_named(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -139,6 +172,25 @@ def draw_trials(space: Mapping[str, object], trials: int, seed: int) -> list[dic
     return seen
 
 
+def holdout_accuracy(rows: DataFrame, features: Sequence[str], name: str, label: str, classes: int) -> Callable[[Mapping], float]:
+    """Accuracy on the `_held` rows of a setting fitted on the others; fits that allow it share the compact rows."""
+    few = compact.Compact(rows, features, label, "_held")
+
+    def tried(point: Mapping) -> float:
+        held = F.col("_held")
+        if compacts(name, classes, point):
+            stage, alike = few.of(point.get("maxBins", compact.BINS))
+            model = fit_alike(stage, alike.where(~held), features, name, classes, label, point)
+            judged = PipelineModel(model.stages[1:]).transform(alike.where(held))
+            weighted = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy", weightCol=compact.COPIES)
+            return float(weighted.evaluate(judged))
+        model = pipeline(features, make_estimator(name, classes, len(features), label, **point)).fit(rows.where(~held))
+        evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+        return float(evaluator.evaluate(model.transform(rows.where(held))))
+
+    return tried
+
+
 def random_search(
     df: DataFrame,
     features: Sequence[str],
@@ -157,20 +209,11 @@ def random_search(
     The holdout follows the hash of the row id, so it does not move with the partitioning.
     """
     points = draw_trials(space, trials, seed)
-    rows = df.select(*features, F.col(label).cast("double").alias(label), (hash_key(F.col(row_id), f":{seed}") % 1000).alias("_k"))
-    rows = rows.persist()
-    held = F.col("_k") >= int(round(train_share * 1000))
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-
-    def tried(point: dict) -> float:
-        model = pipeline(features, make_estimator(name, classes, len(features), label, **point)).fit(rows.where(~held))
-        return float(evaluator.evaluate(model.transform(rows.where(held))))
-
-    try:
-        with ThreadPool(parallelism) as pool:
-            metrics = pool.map(inheritable_thread_target(df.sparkSession)(tried), points)
-    finally:
-        rows.unpersist()
+    held = hash_key(F.col(row_id), f":{seed}") % 1000 >= int(round(train_share * 1000))
+    rows = settle(df.select(*features, F.col(label).cast("double").alias(label), held.alias("_held")), "search")
+    tried = holdout_accuracy(rows, features, name, label, classes)
+    with ThreadPool(parallelism) as pool:
+        metrics = pool.map(inheritable_thread_target(df.sparkSession)(tried), points)
     board = [(i, str(dict(sorted(p.items()))), m) for i, (p, m) in enumerate(zip(points, metrics, strict=True))]
     return small_table(df.sparkSession, board, "trial int, params string, accuracy double").orderBy(
         F.desc("accuracy"), "trial"
