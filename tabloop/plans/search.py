@@ -25,13 +25,12 @@ from multiprocessing.pool import ThreadPool
 from statistics import median
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloop.functions.keys import hash_key
 from tabloop.plans import boosting
-from tabloop.plans.training import BOOSTED, SOFTMAX, draw_value, make_estimator, pipeline
+from tabloop.plans.training import BOOSTED, SOFTMAX, draw_value, holdout_accuracy
 from tabloop.storage import settle, small_table
 
 # fixed values: trials and warm-up rounds of the reference settings
@@ -185,7 +184,7 @@ def guided_search(
     held = hash_key(F.col(row_id), f":{seed}") % 1000 >= int(round(train_share * 1000))
     rows = settle(df.where(F.col(label).isNotNull()).select(*features, F.col(label).cast("double").alias(label), held.alias("_held")), "search")
     test = rows.where("_held")
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    tried = holdout_accuracy(rows, features, name, label, classes)
     right = F.avg((F.col(label).cast("int") == F.col("label_model")).cast("double"))
 
     def boosted(point: dict, report: Report) -> float:
@@ -195,8 +194,7 @@ def guided_search(
         return float(boosting.score(model, test).agg(right).first()[0] or 0.0)
 
     def fitted(point: dict, report: Report) -> float:
-        model = pipeline(features, make_estimator(name, classes, len(features), label, **point)).fit(rows.where("not _held"))
-        return float(evaluator.evaluate(model.transform(test)))
+        return tried(point)
 
     found = search(boosted if name in BOOSTED else fitted, space, trials, seed, parallelism, startup, warmup, df.sparkSession)
     return board(df.sparkSession, found)
