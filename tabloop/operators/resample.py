@@ -98,7 +98,7 @@ def smote(
 
     "auto" raises every class, "minority" only the smallest (ties to the smallest label).
     """
-    df = df.select(row_id, *cols, label)
+    df = settle(df.select(row_id, *cols, label), "classes")  # counted, searched and returned
     sizes = collect_counts(df, label)
     top = max(sizes.values(), default=0)
     if strategy == "auto":
@@ -158,7 +158,7 @@ def cluster_smote(
     A cluster takes part when its share of the class reaches `balance_threshold` and it has more than k of
     its rows. New rows are shared out by sparsity, rounded up per cluster.
     """
-    df = df.select(row_id, cluster, *cols, label)
+    df = settle(df.select(row_id, cluster, *cols, label), "clusters")  # counted, searched and returned
     classes = collect_counts(df, label)
     smallest = min(classes, key=lambda g: (classes[g], g))
     missing = max(classes.values()) - classes[smallest]

@@ -6,7 +6,7 @@ unique over the tables of one recipe.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from tabloop.operators.ordering import cut_n, cut_share, first_n, first_share, r
 from tabloop.operators.relabel import fit_centroids
 from tabloop.operators.resample import cluster_smote, duplicate_extremes, smote, undersample
 from tabloop.operators.stats import apply_robust, fit_robust
+from tabloop.storage import settle
 
 # fixed values of the recipes, the defaults of RecipeInputs
 SCORED_TRAIN_ROWS = 50_000
@@ -107,7 +108,7 @@ def _phase2_binary(inp: RecipeInputs, add_captured: bool) -> tuple[DataFrame, Da
     train, test = (_plain(_coded(d, inp).select(*_columns(cfg)), cfg) for d in (head, tail))
     if not add_captured:
         return _named({"train": train}), _named({"test": test})
-    more = duplicate_extremes(inp.captured, inp.extreme_rows, renumber=True)
+    more = settle(duplicate_extremes(inp.captured, inp.extreme_rows, renumber=True), "more")
     kept, _ = random_cut(more, ["prob", "row_id"], inp.seed)
     made = _smote(_captured(kept, inp), inp, "auto", 10)
     return _named({"captured": made}), _named({"test": test, "train": train})
@@ -181,8 +182,11 @@ def captured_left_out(phase: str, problem: str, inp: RecipeInputs) -> DataFrame:
 
 
 def recipe(phase: str, problem: str, inputs: RecipeInputs, add_captured: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of a phase and problem."""
+    """(train, test) of a phase and problem. Tables that several steps read are written once."""
     key = (phase, problem)
+    read_often = {"train": True, "scored": key == ("phase-2", "prob-1"), "captured": add_captured}
+    tables = {n: getattr(inputs, n) for n, used in read_often.items() if used}
+    inputs = replace(inputs, **{n: settle(df, n) for n, df in tables.items() if df is not None})
     if key == ("phase-1", "prob-1"):
         return _phase1(inputs, add_captured, clustered=False)
     if key == ("phase-1", "prob-2"):

@@ -213,3 +213,19 @@ def test_duplicate_extremes(spark):
     df = spark.createDataFrame([(i, i / 10) for i in range(10)], "row_id long, prob double")
     rows = resample.duplicate_extremes(df, 2, renumber=True).collect()
     assert sorted(r.row_id for r in rows) == sorted([i * 3 for i in range(10)] + [25, 28, 2, 5])
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_given_rows_are_made_once(spark, clustered):
+    """Before, counts, members and originals each made the rows anew."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def label(i):
+        made.add(1)
+        return int(i % 4 == 0)
+
+    rows = spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 50).cast("double").alias("x"), F.lit(0).alias("cluster"), label("id").alias("label"))
+    raise_class = resample.cluster_smote if clustered else resample.smote
+    out = raise_class(rows, "cluster", "label", ["x"], balance_threshold=0.2) if clustered else raise_class(rows, "label", ["x"])
+    assert out.where("label = 1").count() == 300 and made.value == 400
