@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabloop.storage import release_shuffles, settle
+from tabloop.storage import release_shuffles, settle, small_table
 
 SAMPLES = 64
 BLANK = r"[\x20\x09-\x0D]+"
@@ -39,18 +39,23 @@ def gamma_quantile(p: float) -> float:
     return x
 
 
-def _tables() -> tuple[Column, Column]:
+def _tables(spark: SparkSession) -> tuple[Column, Column]:
+    """Quantiles of ln c and r as scalar subqueries of a one-row table.
+
+    As literals every sample had arrays of its own, and each text of the plan that the driver keeps spelt them out.
+    """
     steps = 2**FINE_BITS
     ln_c = [
         math.log(gamma_quantile((1 + (m + 0.5) / steps) / 2 ** (j + 1))) for j in range(POWERS) for m in range(steps)
     ]
     r = [gamma_quantile((i + 0.5) / 2**GAMMA_BITS) for i in range(2**GAMMA_BITS)]
-    return _constant(ln_c), _constant(r)
+    row = small_table(spark, [(ln_c, r)], "ln_c array<double>, r array<double>")
+    return row.select("ln_c").scalar(), row.select("r").scalar()
 
 
 def _constant(values: list[float]) -> Column:
-    """A list as one constant, read from its text. As a literal of each value the plan of all samples holds them all
-    as nodes, in the driver's memory."""
+    """A list as one constant, read from its text, instead of a node of the plan for each value. For few uses in a
+    plan: each spells the list out."""
     return F.split(F.lit(" ".join(map(repr, values))), " ").cast("array<double>")
 
 
@@ -72,7 +77,7 @@ def rank(h: Column, ln_weight: Column, tables: tuple[Column, Column]) -> Column:
 
 def signatures(weights: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """`signature` (array of integers) of each key from rows of key, `term` (integer) and `weight` (above 0)."""
-    tables = _tables()
+    tables = _tables(weights.sparkSession)
     # a hash is a column of its own: inside the rank it would be made again at each use
     hashed = weights.select(
         *keys, F.log("weight").alias("_ln"), *(F.xxhash64("term", F.lit(i)).alias(f"_h{i}") for i in range(samples))

@@ -114,3 +114,11 @@ def test_one_row_and_empty_table(spark):
     assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one[0].near_next == 1.0
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert fingerprints.document_fingerprints(empty).collect() == []
+
+
+def test_the_plan_holds_the_tables_once(spark):
+    """The texts of the plan that the driver keeps grow by some characters per sample, not by all quantiles."""
+    weights = spark.createDataFrame([(1, 7, 2), (1, 8, 1), (2, 7, 1)], "key long, term long, weight long")
+    signed = fingerprints.signatures(weights, ["key"])
+    assert len(signed._jdf.queryExecution().toString()) < 500_000
+    assert sorted(len(r.signature) for r in signed.collect()) == [64, 64]
