@@ -128,3 +128,36 @@ def test_hot_tokens_take_the_balanced_join(spark, monkeypatch):
     rows = corpus(3)
     out = {r.key: list(r.removed) for r in linededup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert out == {i: v for i, v in brute(rows).items() if v}
+
+
+def test_lines_that_share_one_token_by_chance_are_not_listed(spark, monkeypatch):
+    """Each line shares its first token by hash, and no more of them, with another line; two lines are alike."""
+    draw = random.Random(11)
+    rows = [(i, " ".join(f"o{draw.randrange(10**9)}" for _ in range(54))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    words = {i: t.split(" ") for i, t in rows}
+    runs = [(i, k, " ".join(w[k : k + 5])) for i, w in words.items() for k in range(50)]
+    hashed = spark.createDataFrame(runs, "doc_id bigint, at bigint, run string").select("doc_id", "at", linededup.tokens_of(F.col("run"))[0].alias("t"))
+    at = {r.doc_id: r["at"] for r in hashed.groupBy("doc_id").agg(F.min_by("at", "t").alias("at")).collect()}
+    rows += [(100 + i, " ".join(words[i][at[i] : at[i] + 5] + [f"x{draw.randrange(10**9)}" for _ in range(49)])) for i in at]
+    rows.append((999, " ".join(words[7][:53] + ["new"])))
+    written = {}
+    settle = linededup.settle
+    monkeypatch.setattr(linededup, "settle", lambda df, name: written.setdefault(name, []).append(settle(df, name)) or written[name][-1])
+    out = {r.key: list(r.removed) for r in linededup.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {999: [0]} == {i: v for i, v in brute(rows).items() if v}
+    assert len(at) == 60 and written["ids"][0].count() > 110 and written["sets"][0].count() < 10
+
+
+def test_own_words_of_lines_leave_no_room_for_a_pair(spark):
+    """Lines of one passage and nine own words share first tokens, but no pair of them passes the positional filter."""
+    draw = random.Random(13)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(f"o{draw.randrange(10**9)}" for _ in range(9)) + " " + " ".join(passage)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = df.select(F.col("doc_id").alias("id"), linededup.tokens_of(F.col("text")).alias("t"))
+    live = linededup.firsts_by_use(sets, (80, 100))
+    other = live.select("token", *(F.col(a).alias(b) for a, b in zip(["id", "n", "at", "shared"], ["other", "m", "bt", "also"])))
+    both = live.join(other, "token").where("id < other")
+    assert both.count() > 700 and both.where(linededup._fits((80, 100))).count() == 0
+    assert not any(brute(rows).values())
