@@ -179,7 +179,8 @@ def document_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     after = F.coalesce(F.col("next_id"), F.lit(LOWEST))
     ends = links.select(key.alias("key"), "h", "doc_id", "n_chars", "copies", after.alias("next_key"), "next_h")
     following = made.select(F.col("key").alias("next_key"), F.col("h").alias("next_h"), F.col("signature").alias("next_signature"))
-    out = ends.join(made, ["key", "h"]).join(following, ["next_key", "next_h"])
+    # first the next text's signature alone: the wide rows are dealt out once
+    out = ends.join(following, ["next_key", "next_h"]).drop("next_key", "next_h").join(made, ["key", "h"])
     out = out.select(
         "doc_id", "n_chars", "edited_sha256",
         text_of(F.col("signature")).alias("fingerprint"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+RELEASE_S = 0.5  # until the JVM knows which tables Python has dropped
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -51,9 +53,11 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of tables that nothing refers to any more, before a large next step.
 
-    Spark's cleaner acts when the driver's JVM collects its garbage, which a quiet driver does rarely.
+    Spark's cleaner acts when the driver's JVM collects its garbage, which a quiet driver does rarely. Python tells the
+    JVM of tables it has dropped from a thread that looks every 0.1 s; collecting before that would find them in use.
     """
     gc.collect()
+    time.sleep(RELEASE_S)
     spark._jvm.System.gc()
 
 

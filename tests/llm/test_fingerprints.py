@@ -122,3 +122,19 @@ def test_the_plan_holds_the_tables_once(spark):
     signed = fingerprints.signatures(weights, ["key"])
     assert len(signed._jdf.queryExecution().toString()) < 500_000
     assert sorted(len(r.signature) for r in signed.collect()) == [64, 64]
+
+
+def test_wide_rows_are_dealt_out_once(spark, capsys):
+    """What is dealt out by the next text holds no digest and one signature."""
+    df = spark.createDataFrame([(i, f"a b {i}") for i in range(8)], "doc_id bigint, text string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fingerprints.document_fingerprints(df)
+        capsys.readouterr()
+        out.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    dealt = [part for part in capsys.readouterr().out.split("\n\n") if "Exchange" in part.split("\n")[0] and "Arguments: hashpartitioning(next_" in part]
+    assert len(dealt) == 2
+    assert not any("edited" in part for part in dealt) and sum("signature" in part for part in dealt) == 1
