@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tabloop.llm import terms
 from tabloop.operators.skew import lookup_join
-from tabloop.storage import settle
+from tabloop.storage import arrow_batches, settle
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -120,4 +120,6 @@ def interactions(counts: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """part, filter_order, step and the counts, for every order of the filters."""
-    return interactions(patterns(settle(flags(docs), "flags"), labels))
+    with arrow_batches(docs.sparkSession):
+        flagged = settle(flags(docs), "flags")
+    return interactions(patterns(flagged, labels))

@@ -9,6 +9,9 @@ bucket, so no word makes a large task; the number of buckets follows the number
 Number of a word: (bucket << 32) + its place in the bucket. Numbers are unique, not dense. A null or empty text is a row
 without words. Texts are taken in pieces, so a very long text needs memory for its distinct words only. Repeated rows
 are rows of their own. An empty table gives no shards. Kept columns may have any names but those of the matrix.
+
+A task holds one large shard at a time, however many it makes or reads: it ends its row group, rows reach Python in
+batches of bounded size (`storage.arrow_batches`), and the rows of a shard are counted in parts of bounded size.
 """
 
 from __future__ import annotations
@@ -27,13 +30,16 @@ from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloop.storage import settle
+from tabloop.storage import arrow_batches, settle
 
 register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package installed
 
 SHARD_BYTES = 8 * 1024 * 1024  # of text
 PIECE_BYTES = 1024 * 1024  # of a text that are split at a time
 BUCKET_WORDS = 131_072  # entries (word of a shard) numbered by one task
+COUNT_ENTRIES = 131_072  # entries of a shard's rows that are counted at a time
+#: A row group ends with the shard that takes it to 1 MB; Spark reads no more than one group at a time.
+GROUP_PER_ROW = {"parquet.block.size": 1 << 20, "parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1}
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 OWN = ("shard", "indptr", "indices", "data")
 
@@ -65,9 +71,14 @@ class Shard:
         if len(parts) > 1:
             found, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             parts = [(found, np.bincount(back, np.concatenate([p[1] for p in parts])).astype(np.int64))]
-        self.rows.append(parts[0] if parts else (np.empty(0, np.int64), np.empty(0, np.int64)))
+        found, times = parts[0] if parts else (np.empty(0, np.int64), np.empty(0, np.int64))
+        self.rows.append((found.astype(np.int32), times.astype(np.int32)))
         self.bytes += len(text or b"")
 
+    def keep(self, columns: pa.RecordBatch) -> None:
+        """A copy, as a part of a batch holds all of its memory, with the texts."""
+        self.kept.append(columns.take(pa.array(range(columns.num_rows), pa.int64())))
+
     def table(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
         """One row, its words in the order of their checksums."""
         words = list(self.codes)
@@ -79,7 +90,7 @@ class Shard:
             "shard": number,
             "indptr": np.cumsum([0, *(len(c) for c, _ in self.rows)]).astype(np.int32),
             "codes": rank[np.concatenate([c for c, _ in self.rows])],
-            "data": np.concatenate([n for _, n in self.rows]).astype(np.int32),
+            "data": np.concatenate([n for _, n in self.rows]),
             "n_words": len(words),
             "words": b" ".join(words[i] for i in order),
         }
@@ -122,11 +133,14 @@ def local_shards(docs: DataFrame, text: str, keep: Sequence[str], shard_bytes: i
             for i in range(len(texts)):
                 shard.add(texts[i].as_py())
                 if shard.bytes >= shard_bytes:
-                    shard.kept.append(batch.select(names).slice(begin, i + 1 - begin))
-                    yield shard.table(first + made, arrow)
+                    shard.keep(batch.select(names).slice(begin, i + 1 - begin))
+                    whole = shard.table(first + made, arrow)
                     shard, made, begin = Shard(), made + 1, i + 1
+                    yield whole
+                    del whole
+                    pa.default_memory_pool().release_unused()
             if begin < len(texts):
-                shard.kept.append(batch.select(names).slice(begin))
+                shard.keep(batch.select(names).slice(begin))
         if shard.rows:
             yield shard.table(first + made, arrow)
 
@@ -173,11 +187,14 @@ def matrix(
     """(shards, dictionary): the kept columns as lists with shard, indptr, indices and data; and word, id."""
     if set(keep) & set(OWN):
         raise ValueError(f"columns named {OWN} cannot be kept")
-    local = settle(local_shards(docs, text, keep, shard_bytes), "shards")
+    spark = docs.sparkSession
+    with arrow_batches(spark):
+        local = settle(local_shards(docs, text, keep, shard_bytes), "shards", **GROUP_PER_ROW)
     total = local.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first().n
     dealt = _dealt(local, max(1, -(-total // bucket_words)))
     kinds = "bucket bigint, shard bigint, start int, ids array<bigint>, words binary"
-    numbered = settle(dealt.groupBy("bucket").applyInArrow(_number, kinds), "numbered")
+    with arrow_batches(spark):
+        numbered = settle(dealt.groupBy("bucket").applyInArrow(_number, kinds), "numbered")
     names = [f"k{i}" for i in range(len(keep))]
     whole = local.select("shard", *names, "indptr", "codes", "data")
     from pyspark.sql import types as T
@@ -191,7 +208,7 @@ def matrix(
         known = [parts[int(i)].values.to_numpy() for i in order]
         known = np.concatenate(known) if known else np.empty(0, np.int64)
         codes = shard.column("codes").combine_chunks()[0].values.to_numpy()
-        indices = pa.array([known[codes]], pa.list_(pa.int64()))
+        indices = _listed(pa.array(known[codes]), pa.list_(pa.int64()))
         given = {n: shard.column(n) for n in shard.column_names}
         return pa.table([*(given[n] for n in names), given["shard"], given["indptr"], indices, given["data"]], names=out.names)
 
@@ -202,6 +219,31 @@ def matrix(
     return shards, listed.select("word", (F.shiftleft("bucket", 32) + F.col("at")).alias("id"))
 
 
+def _parts(bounds: np.ndarray, entries: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold so many entries at most, or a single row."""
+    first = 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + entries, side="right")) - 1)
+        yield first, last
+        first = last
+
+
+def shard_counts(bounds: np.ndarray, indices: np.ndarray, data: np.ndarray, entries: int = COUNT_ENTRIES) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the data and the number of distinct indices of every row of a shard."""
+    words, distinct = np.zeros(len(bounds) - 1, np.int64), np.zeros(len(bounds) - 1, np.int64)
+    for first, last in _parts(bounds, entries):
+        own = slice(bounds[first], bounds[last])
+        at = bounds[first : last + 1] - bounds[first]
+        sums = np.concatenate([[0], np.cumsum(data[own], dtype=np.int64)])
+        owner = np.repeat(np.arange(last - first), np.diff(at))
+        order = np.lexsort((indices[own], owner))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(indices[own][order]) != 0) | (np.diff(owner[order]) != 0)
+        words[first:last] = sums[at[1:]] - sums[at[:-1]]
+        distinct[first:last] = np.bincount(owner[order][fresh], minlength=last - first)
+    return words, distinct
+
+
 def row_counts(shards: DataFrame, keep: Sequence[str]) -> DataFrame:
     """The kept columns of every row with its `words` (row sum) and `distinct_words` (nonzero columns)."""
     from pyspark.sql import types as T
@@ -215,15 +257,7 @@ def row_counts(shards: DataFrame, keep: Sequence[str]) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(j)[i].values for j, n in enumerate(batch.schema.names)}
-                bounds = row["indptr"].to_numpy()
-                sums = np.concatenate([[0], np.cumsum(row["data"].to_numpy(), dtype=np.int64)])
-                indices = row["indices"].to_numpy()
-                owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                order = np.lexsort((indices, owner))
-                fresh = np.ones(len(indices), bool)
-                fresh[1:] = (np.diff(indices[order]) != 0) | (np.diff(owner[order]) != 0)
-                nonzero = np.bincount(owner[order][fresh], minlength=len(bounds) - 1)
-                counts = [pa.array(sums[bounds[1:]] - sums[bounds[:-1]]), pa.array(nonzero, pa.int64())]
-                yield pa.RecordBatch.from_arrays([row[c].cast(f.type) for c, f in zip(keep, arrow)] + counts, schema=arrow)
+                counts = shard_counts(*(row[n].to_numpy() for n in OWN[1:]))
+                yield pa.RecordBatch.from_arrays([row[c].cast(f.type) for c, f in zip(keep, arrow)] + [*map(pa.array, counts)], schema=arrow)
 
     return shards.select(*keep, "indptr", "indices", "data").mapInArrow(run, schema)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import time
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 RELEASE_S = 0.5  # until the JVM knows which tables Python has dropped
+ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 4 * 1024 * 1024
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -42,14 +46,31 @@ def remove_scratch(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settle(df: DataFrame, name: str = "table") -> DataFrame:
+def settle(df: DataFrame, name: str = "table", **options: int) -> DataFrame:
     """Write `df` once as Parquet and read it back: later uses scan only the columns they need, and neither
-    repeat its work nor depend on the executors that did it."""
+    repeat its work nor depend on the executors that did it. `options` are the writer's."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, most: int = ARROW_BYTES) -> Iterator[None]:
+    """What is written meanwhile sends rows to Python in batches of `most` bytes, or of the row that goes beyond it.
+
+    By default a batch has 64 MB, in the JVM beside its heap and again in the worker. The session's own setting comes back.
+    """
+    was = spark.conf.get(ARROW_CONF, None)
+    spark.conf.set(ARROW_CONF, most)
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(ARROW_CONF)
+        else:
+            spark.conf.set(ARROW_CONF, was)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of tables that nothing refers to any more, before a large next step.
 

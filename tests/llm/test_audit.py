@@ -3,12 +3,16 @@
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tabloop import storage
 from tabloop.llm import audit, terms
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -131,3 +135,69 @@ def test_row_counts_ignore_repeated_columns_of_a_row(spark):
     shards = spark.createDataFrame(rows, "shard bigint, n array<int>, indptr array<int>, indices array<bigint>, data array<int>")
     got = [(r.n, r.words, r.distinct_words) for r in terms.row_counts(shards, ["n"]).collect()]
     assert got == [(1, 4, 2), (2, 0, 0)] and np.int64(4) == got[0][1]
+
+
+def test_a_large_shard_is_counted_in_parts():
+    draw = np.random.default_rng(5)
+    bounds = np.concatenate([[0, 0], np.cumsum(draw.integers(0, 3000, 1500)), [3_000_000, 3_000_000]])
+    indices, data = draw.integers(0, 900, bounds[-1]), draw.integers(1, 9, bounds[-1]).astype(np.int32)
+    tracemalloc.start()
+    words, distinct = terms.shard_counts(bounds, indices, data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    lone = bounds[-2] - bounds[-3]
+    assert peak < 100 * max(lone, terms.COUNT_ENTRIES) < 30 * len(indices)
+    rows = list(zip(bounds, bounds[1:]))
+    assert words.tolist() == [data[a:b].sum() for a, b in rows]
+    assert distinct.tolist() == [len(set(indices[a:b])) for a, b in rows]
+    for entries in (1, 700):
+        again = terms.shard_counts(bounds, indices, data, entries)
+        assert (again[0] == words).all() and (again[1] == distinct).all()
+
+
+def test_python_gets_batches_of_bounded_size(spark):
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    rows = spark.range(0, 40, 1, 1).select(F.array_repeat("id", 100_000).alias("indices"))
+    before = spark.conf.get(storage.ARROW_CONF)
+    with storage.arrow_batches(spark, 1 << 20):
+        assert max(r.n for r in rows.mapInArrow(seen, "n bigint").collect()) <= 2
+    assert spark.conf.get(storage.ARROW_CONF) == before
+    with pytest.raises(ValueError), storage.arrow_batches(spark):
+        raise ValueError
+    assert spark.conf.get(storage.ARROW_CONF) == before
+
+
+def test_the_audit_writes_with_small_batches_and_one_shard_a_row_group(spark, monkeypatch):
+    written = {}
+
+    def settle(df, name="table", **options):
+        out = storage.settle(df, name, **options)
+        written[name] = spark.conf.get(storage.ARROW_CONF), out.inputFiles()
+        return out
+
+    monkeypatch.setattr(terms, "settle", settle)
+    monkeypatch.setattr(audit, "settle", settle)
+    monkeypatch.setattr(terms.matrix, "__defaults__", ("text", ("doc_id",), 1 << 20, 100_000))
+    words = "array_join(transform(sequence(0, 1999), i -> concat('word', id * 2000 + i)), ' ')"
+    docs = spark.range(0, 400, 1, 1).selectExpr("id doc_id", "'en' lang", f"{words} text")
+    assert audit.audit(docs, spark.createDataFrame([], "doc_id bigint, quality int, toxic int")).count() == 600
+    small = str(storage.ARROW_BYTES)
+    assert {n: w[0] for n, w in written.items() if n != "known"} == dict.fromkeys(("shards", "numbered", "flags"), small)
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in written["shards"][1]]
+    sizes = [m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)]
+    assert len(sizes) > 3 and set(sizes) == {1}
+
+
+def test_kept_columns_do_not_hold_the_texts():
+    batch = pa.RecordBatch.from_pydict({"k0": list(range(100)), "text": [b"x" * 10_000] * 100})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    batch = pa.ipc.open_stream(sink.getvalue()).read_next_batch()
+    shard = terms.Shard()
+    shard.keep(batch.select(["k0"]).slice(10, 50))
+    assert shard.kept[0].column(0).to_pylist() == list(range(10, 60))
+    assert shard.kept[0].column(0).buffers()[1].address not in range(batch.column(0).buffers()[1].address, batch.column(1).buffers()[2].address)
